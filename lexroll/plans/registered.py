@@ -1,6 +1,13 @@
 """All registered queries."""
 
-from lexroll.plans import stage_queries, text_queries, vector_queries  # noqa: F401
+from lexroll.plans import (  # noqa: F401
+    model_queries,
+    registry_queries,
+    source_queries,
+    stage_queries,
+    text_queries,
+    vector_queries,
+)
 from lexroll.plans.catalog import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
