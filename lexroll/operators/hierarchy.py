@@ -151,10 +151,11 @@ def hierarchy_paths(nodes: DataFrame, rules: NameRules = NameRules()) -> DataFra
     )
 
 
-def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str]) -> DataFrame:
+def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str], carry: list[str] = []) -> DataFrame:
     """Registry of (name, order…, item): ids ``prefix-1``, ``prefix-2``, … per body.
 
-    Bodies without items give no row.  ``order`` is unique within a body.
+    Bodies without items give no row.  ``order`` is unique within a body.  Columns named in
+    ``carry`` are kept.
     """
     numbered = row_numbers(items, ["name"], order, "item_no")
     body = nodes.select("name", "id_prefix", "abbreviation", "executor", "full_name", "parent_executor", "level")
@@ -167,4 +168,5 @@ def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str]) -> DataF
         F.coalesce("level", F.lit("")).alias("level"),
         F.col("name").alias("node_name"),
         "item_no",
+        *carry,
     )

@@ -16,6 +16,7 @@ from lexroll.operators import hierarchy, labels, reports, sections as cut, simil
 from lexroll.operators.closure import group_pairs, write_back
 from lexroll.operators.inference import Encoder, Model, embed, infer
 from lexroll.operators.lineage import cut_lineage
+from lexroll.operators.ranks import row_numbers
 from lexroll.profile import (
     ATTEMPTS,
     BOILERPLATE_THRESHOLD,
@@ -69,9 +70,9 @@ def parse(
     spoken = accepted.withColumn("ord", F.struct("doc", "section_no"))
     nodes = hierarchy.hierarchy_paths(hierarchy.build_nodes(spoken, names), names)
     items = cut.item_rows(accepted, ["doc", "section_no", "main"]).withColumnRenamed("main", "name")
-    rows = hierarchy.registry_rows(nodes, items.withColumnRenamed("item_no", "para_no"), ["doc", "section_no", "para_no"])
-    # ids may repeat; the body's name and the number within it do not
-    return Parsed(rows.withColumn("row_ord", F.xxhash64("node_name", "item_no")), rejected, nodes)
+    # ids of bodies with equal initials may repeat; the position in the input does not
+    placed = row_numbers(items.withColumnRenamed("item_no", "para_no"), [], ["doc", "section_no", "para_no"], "row_ord")
+    return Parsed(hierarchy.registry_rows(nodes, placed, ["row_ord"], ["row_ord"]), rejected, nodes)
 
 
 def classify(
@@ -203,10 +204,10 @@ def collide(
         settled = known.where("verdict <> 'ERROR'")
         pairs = pairs.join(settled.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
     shown = registry.select(
-        "row_ord", "executor", *[(F.col(c) if c in registry.columns else F.lit(None)).alias(n) for c, n in (("true_type", "type"), ("sphere", "sphere"))],
+        "row_ord", "function_id", "executor", *[(F.col(c) if c in registry.columns else F.lit(None)).alias(n) for c, n in (("true_type", "type"), ("sphere", "sphere"))],
         F.col("function_text").alias("text"),
     )
-    asked = labels.pair_prompts(pairs, shown, "row_ord", template)
+    asked = labels.pair_prompts(pairs, shown, "row_ord", template, "function_id")
     accept = lambda a: a is not None and any(v in a.upper() for v in ("REAL", "FALSE"))
     judged = infer(asked, "prompt", model, accept).select("id_a", "id_b", answers.pair_verdict(F.col("raw")).alias("verdict"))
     if known is not None:
