@@ -54,6 +54,7 @@ def parse(
     """
     found = cut.with_items(cut.with_sections(documents, "paragraphs", rules), rules, cleaning)
     asked = found.withColumn("prompt", cut.context(F.col("paragraphs"), rules)).drop("paragraphs")
+    asked = asked.withColumnRenamed("status", "item_status")
     named = infer(asked, "prompt", name_model, accept=lambda a: a is not None and "full_go_name" in a)
     full = text.strip(answers.json_text(F.col("raw"), "full_go_name", fenced=True))
     named = (
@@ -61,7 +62,7 @@ def parse(
         .withColumn("_name", text.split_name(F.col("full_name"), names))
         .withColumn("main", F.col("_name.main"))
         .withColumn("parent", F.col("_name.parent"))
-        .select("doc", "section_no", "full_name", "main", "parent", "items", F.col("status"))
+        .select("doc", "section_no", "full_name", "main", "parent", "items", F.col("item_status").alias("status"))
     )
     if aliases is not None:
         known = aliases.select(F.col("name").alias("parent"), "instead")

@@ -9,6 +9,8 @@ from lexroll.functions.text import strip
 SEPARATORS = (",", ";", "\t", "|")
 ENCODINGS = ("UTF-8", "windows-1251", "ISO-8859-1")
 UNDEFINED_BYTE = "\x98"  # has no meaning in windows-1251
+UPPER_BYTES = bytes(b for b in range(128, 256) if b != ord(UNDEFINED_BYTE))
+CYRILLIC_BYTES = (UPPER_BYTES.decode("latin-1"), UPPER_BYTES.decode("cp1251"))
 
 
 def _raw_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -41,9 +43,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     if suffix == "json":
         return spark.read.json(path)
     if suffix == "csv":
-        table = spark.read.csv(
-            path, header=True, encoding=guess_encoding(spark, path), sep=guess_separator(spark, path)
-        )
+        encoding = guess_encoding(spark, path)
+        as_bytes = "ISO-8859-1" if encoding == "windows-1251" else encoding  # Spark's reader lacks the former
+        table = spark.read.csv(path, header=True, encoding=as_bytes, sep=guess_separator(spark, path))
+        if encoding == "windows-1251":
+            table = table.select(*[F.translate(f"`{c}`", *CYRILLIC_BYTES).alias(c.translate(str.maketrans(*CYRILLIC_BYTES))) for c in table.columns])
         return table.toDF(*[c.lstrip("﻿") for c in table.columns])
     raise ValueError(f"Unsupported file format: {path}")
 
