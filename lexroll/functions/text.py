@@ -14,17 +14,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+BLANKS_BEFORE = r"\s*"
 SPACES = r"(?U)[\s\x1c-\x1f]+"
+UNEVEN = r"(?U)[\s\x1c-\x1f&&[^ ]]|  "  # white space other than single blanks
+SPACE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def normalise(text: Column) -> Column:
     """Every run of white space becomes one blank; no blanks at the ends."""
-    return F.trim(F.regexp_replace(text, SPACES, " "))
+    return let(text, lambda x: F.trim(F.when(x.rlike(UNEVEN), F.regexp_replace(x, SPACES, " ")).otherwise(x)))
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.trim(text, F.lit(SPACE_CHARACTERS))
 
 
 def blank_to_null(text: Column) -> Column:
@@ -38,11 +41,20 @@ def capitalise(text: Column) -> Column:
 
 def clean_item(text: Column, rules: CleanRules = CleanRules()) -> Column:
     """Drop control characters and the ordered removals, one list marker, stray marks."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), rules.control, "")
-    kept = reduce(lambda x, rule: F.regexp_replace(x, rules.flags + rule, ""), rules.removals, bare)
-    unmarked = strip(F.regexp_replace(kept, "(?U)" + rules.marker, ""))
-    spaced = strip(F.regexp_replace(unmarked, r"[ \t]+", " "))
-    return strip(F.regexp_replace(spaced, r"[;,]+\z", ""))
+    def remove(raw: Column) -> Column:
+        bare = F.regexp_replace(raw, rules.control, "")
+        kept = reduce(lambda x, rule: F.regexp_replace(x, rules.flags + rule, ""), rules.removals, bare)
+        # most texts have nothing to remove; to see that, blanks before a match do not matter
+        looks = [rules.flags + rule.removeprefix(BLANKS_BEFORE) for rule in rules.removals]
+        found = reduce(lambda x, look: x | raw.rlike(look), looks, raw.rlike(rules.control))
+        return F.when(found, kept).otherwise(raw)
+
+    def space(unmarked: Column) -> Column:
+        return F.when(unmarked.rlike("\t|  "), F.regexp_replace(unmarked, r"[ \t]+", " ")).otherwise(unmarked)
+
+    removed = let(F.coalesce(text, F.lit("")), remove)
+    unmarked = F.regexp_replace(removed, "(?U)" + rules.marker, "")
+    return strip(F.rtrim(strip(let(strip(unmarked), space)), F.lit(";,")))
 
 
 def abbreviate(name: Column, rules: NameRules = NameRules()) -> Column:

@@ -72,14 +72,14 @@ def build_cells(df: DataFrame, id_col: str, vec_col: str, count: int) -> tuple[D
 
 def reachable(df: DataFrame, vec: Column, reach: Column, cells: Cells) -> Column:
     """ARRAY<INT> of the cells that may hold a partner within the angle ``reach``."""
-    shared = df.sparkSession.sparkContext.broadcast(cells)
+    shared = df.sparkSession.sparkContext.broadcast((cells.pivots, cells.radii))
 
     @F.arrow_udf("array<int>")
     def targets(vectors: pa.Array, reaches: pa.Array) -> pa.Array:
         n = len(vectors)
         if n == 0:
             return pa.array([], pa.list_(pa.int32()))
-        pivots, radii = shared.value.pivots, shared.value.radii
+        pivots, radii = shared.value
         rows = unit(matrix(vectors))
         limit = reaches.to_numpy(zero_copy_only=False)[:, None] + SLACK
         cos = np.clip(rows @ pivots.T, -1.0, 1.0)

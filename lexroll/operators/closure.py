@@ -42,18 +42,22 @@ def connected_groups(links: DataFrame, a: str = "id_a", b: str = "id_b") -> Data
     kind = links.schema[a].dataType.simpleString()
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     edges = cut_lineage(pairs.mapInArrow(_forest, f"u {kind}, v {kind}").distinct())
-    state = None
-    while True:
-        found = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(found) == state or found[0] == 0:
-            break
-        state = tuple(found)
+    while not _only_stars(edges):
         edges = cut_lineage(_small_star(_large_star(edges)))
     members = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return members.unionByName(roots)
 
 
+def _only_stars(edges: DataFrame) -> bool:
+    """No id hangs on two others, and none both hangs on one and is hung on."""
+    role = F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("id"), F.lit(0).alias("hangs"))))
+    roles = edges.select(role.alias("r")).groupBy("r.id").agg(
+        F.sum("r.hangs").alias("ups"), F.count_if(F.col("r.hangs") == 0).alias("downs")
+    )
+    return roles.where("ups > 1 OR (ups > 0 AND downs > 0)").isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -69,7 +73,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def group_pairs(links: DataFrame, a: str = "id_a", b: str = "id_b", prefix: str = GROUP_PREFIX) -> DataFrame:
     """(id, group_id): groups numbered from 1 in the order of their smallest id."""
-    members = cut_lineage(connected_groups(links, a, b))
+    members = connected_groups(links, a, b)
     numbered = row_numbers(members.select("root").distinct(), [], ["root"], "n")
     return members.join(numbered, "root").select(
         "id", F.concat(F.lit(prefix), F.col("n").cast("string")).alias("group_id")

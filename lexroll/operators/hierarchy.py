@@ -68,13 +68,12 @@ def hierarchy_conflicts(sections: DataFrame) -> DataFrame:
 def _climb(links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     """Paths from (name, up, abbreviation); ``up`` is NULL at a root.
 
-    Every round doubles the distance a node looks up, so the rounds follow the logarithm of
-    the depth.  Returns (name, path) of the nodes that reach a root, and the rest: nodes on
-    a cycle or below one.  There ``peak`` is the least name among all that lie above.
+    ``links`` should be cut from its lineage.  Every round doubles the distance a node looks
+    up, so the rounds follow the logarithm of the depth.  Returns (name, path) of the nodes
+    that reach a root, and the rest: nodes on a cycle or below one.  There ``peak`` is the
+    least name among all that lie above.
     """
-    state = cut_lineage(
-        links.select("name", "up", F.col("abbreviation").alias("path"), F.col("up").alias("peak"))
-    )
+    state = links.select("name", "up", F.col("abbreviation").alias("path"), F.col("up").alias("peak"))
     before = None
     while True:
         found = state.where("up IS NOT NULL").agg(
@@ -109,7 +108,7 @@ def _parents(nodes: DataFrame) -> DataFrame:
 
 def find_cycles(nodes: DataFrame) -> DataFrame:
     """(name, cycle): bodies that are their own ancestors; ``cycle`` is the least of them."""
-    linked = _parents(nodes).select("name", "up", F.lit(None).cast("string").alias("abbreviation"))
+    linked = cut_lineage(_parents(nodes).select("name", "up", F.lit(None).cast("string").alias("abbreviation")))
     _, rest = _climb(linked)
     if rest is None:
         return linked.select("name", F.col("name").alias("cycle")).where(F.lit(False))

@@ -79,7 +79,7 @@ def infer(
     The answers are written down at once, so no later step asks the model again.
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(prompt_col, F.lit("")), 256))
-    asked = keyed.groupBy("_key").agg(F.any_value(F.coalesce(prompt_col, F.lit(""))).alias("prompt"))
+    asked = keyed.select("_key", F.coalesce(prompt_col, F.lit("")).alias("prompt")).distinct()
     if partitions:
         asked = asked.repartition(partitions, "_key")
 
@@ -114,7 +114,7 @@ def embed(
     """
     text = F.coalesce(F.when(strip(F.col(text_col)) != "", F.col(text_col)), F.lit(" "))
     keyed = df.withColumn("_key", F.sha2(text, 256))
-    texts = keyed.groupBy("_key").agg(F.any_value(text).alias("text"))
+    texts = keyed.select("_key", text.alias("text")).distinct()
     if partitions:
         texts = texts.repartition(partitions, "_key")
 
@@ -147,7 +147,7 @@ def embed(
 class HashedWords:
     """Encoder that needs no model: counts of words in hashed buckets, at length one.
 
-    The buckets of the words seen are kept for the life of the Python worker.
+    The buckets of the words seen are kept while a task runs.
     """
 
     def __init__(self, size: int = 64):

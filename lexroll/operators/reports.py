@@ -96,7 +96,7 @@ def level_documents(df: DataFrame, rules: ReportRules = ReportRules()) -> DataFr
     tags = F.create_map(*[F.lit(x) for pair in rules.tags.items() for x in pair])
     tag = F.coalesce(F.try_element_at(tags, level), F.concat(F.lit(rules.tag_fallback), level))
     executors = rows.select("level", "executor").distinct()
-    levels = rows.select("level").distinct()
+    levels = executors.select("level").distinct()
     anchor = safe_name(executor)
     details = _details(rules, with_group=False)
     entry = F.concat(

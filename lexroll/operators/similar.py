@@ -125,9 +125,28 @@ def _cross_kernel(threshold: float, strip: int):
     return kernel
 
 
-def _large_blocks(items: DataFrame, tile: int) -> DataFrame:
-    """Blocks of more than ``tile`` rows: at most rows / tile of them."""
-    return items.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+@dataclass(frozen=True)
+class Blocks:
+    """Items in blocks that fit one task, and the larger blocks, of which there are at most
+    rows / tile."""
+
+    small: DataFrame
+    large: DataFrame | None
+    largest: int
+
+
+def _by_size(items: DataFrame, counted: DataFrame, tile: int) -> Blocks:
+    large = counted.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > tile)
+    found = large.agg(F.count("*").alias("blocks"), F.max("n").alias("largest")).first()
+    if not found["blocks"]:
+        return Blocks(items, None, 0)
+    large = cut_lineage(large.select("block"))
+    return Blocks(items.join(broadcast_if_small(large), "block", "left_anti"), large, found["largest"])
+
+
+def _pair_blocks(small: DataFrame, threshold: float, sizes: Sizes) -> DataFrame:
+    rows = small.select("block", "id", F.col("owner").alias("low"), F.col("owner").alias("high"), "vec")
+    return rows.groupBy("block").applyInArrow(_pair_kernel(threshold, sizes.strip), PAIR_SCHEMA)
 
 
 def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Sizes) -> DataFrame:
@@ -154,7 +173,7 @@ def similar_classes(items: DataFrame, large: DataFrame, largest: int, threshold:
     smallest and largest owner: equal means that a single owner holds it.  However many
     copies there are, they are one row here.
     """
-    held = items.join(broadcast_if_small(large.select("block")), "block", "left_semi")
+    held = items.join(broadcast_if_small(large), "block", "left_semi")
     # a 128-bit digest stands for the vector, so that the member table carries no vectors
     held = held.withColumn("digest", F.struct(F.xxhash64("vec"), F.xxhash64(F.lit(1), "vec")))
     classes = cut_lineage(
@@ -211,20 +230,12 @@ def near_duplicate_pairs(
     the rows.
     """
     items = _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ)
-    blocks = [c for c in block_cols if c in df.columns]
-    large = _large_blocks(items if counted is None else counted.select(block_key(blocks).alias("block")), sizes.tile)
-    top = large.agg(F.count("*").alias("blocks"), F.max("n").alias("largest")).first()
-    small = items
-    if top["blocks"]:
-        large = cut_lineage(large)
-        small = items.join(broadcast_if_small(large.select("block")), "block", "left_anti")
-    pairs = (
-        small.select("block", "id", F.col("owner").alias("low"), F.col("owner").alias("high"), "vec")
-        .groupBy("block")
-        .applyInArrow(_pair_kernel(threshold, sizes.strip), PAIR_SCHEMA)
-    )
-    if top["blocks"]:
-        found = similar_classes(items, large, top["largest"], threshold, sizes)
+    if counted is not None:
+        counted = counted.select(block_key([c for c in block_cols if c in df.columns]).alias("block"))
+    blocks = _by_size(items, items if counted is None else counted, sizes.tile)
+    pairs = _pair_blocks(blocks.small, threshold, sizes)
+    if blocks.large is not None:
+        found = similar_classes(items, blocks.large, blocks.largest, threshold, sizes)
         pairs = pairs.unionByName(_expand(*found, threshold))
     return pairs
 
@@ -248,20 +259,11 @@ def near_duplicate_links(
     similar classes together have two owners, so are all members of both.
     """
     items = _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ)
-    large = _large_blocks(items, sizes.tile)
-    top = large.agg(F.count("*").alias("blocks"), F.max("n").alias("largest")).first()
-    if not top["blocks"]:
-        return near_duplicate_pairs(
-            df, id_col, vec_col, owner_col, block_cols, threshold, exclude, null_owners_differ, sizes
-        ).select("id_a", "id_b")
-    large = cut_lineage(large)
-    small = items.join(broadcast_if_small(large.select("block")), "block", "left_anti")
-    pairs = (
-        small.select("block", "id", F.col("owner").alias("low"), F.col("owner").alias("high"), "vec")
-        .groupBy("block")
-        .applyInArrow(_pair_kernel(threshold, sizes.strip), PAIR_SCHEMA)
-    )
-    classes, edges, members = similar_classes(items, large, top["largest"], threshold, sizes)
+    blocks = _by_size(items, items, sizes.tile)
+    pairs = _pair_blocks(blocks.small, threshold, sizes)
+    if blocks.large is None:
+        return pairs.select("id_a", "id_b")
+    classes, edges, members = similar_classes(items, blocks.large, blocks.largest, threshold, sizes)
     edges = cut_lineage(edges)
     zero = F.forall("vec", lambda x: x == 0)
     shared = classes.where(

@@ -13,6 +13,7 @@ from lexroll.operators.closure import group_pairs, write_back
 from lexroll.operators.inference import HashedWords, embed
 from lexroll.operators.labels import candidate_prompts, hint_sets, pair_prompts as prompts_of_pairs, type_prompts as prompts_of_types
 from lexroll.operators.similar import (
+    Sizes,
     block_stats as stats_of_blocks,
     drop_boilerplate,
     max_similarity as largest_similarity,
@@ -35,8 +36,12 @@ def split(spark: SparkSession, folder: str, label: int) -> tuple[DataFrame, Data
     return every.where(F.col("label") != label), every.where(F.col("label") == label)
 
 
-def pairs_of(df: DataFrame, counted: DataFrame | None = None) -> DataFrame:
-    return near_duplicate_pairs(df, "vec_id", "embedding", "owner", ["label"], THRESHOLD, counted=counted)
+# Limits so low that the bundled tables take the ways meant for large blocks and libraries.
+TIGHT = Sizes(tile=40, max_pivots=16, broadcast_cells=64, sample=32)
+
+
+def pairs_of(df: DataFrame, counted: DataFrame | None = None, sizes: Sizes = Sizes()) -> DataFrame:
+    return near_duplicate_pairs(df, "vec_id", "embedding", "owner", ["label"], THRESHOLD, sizes=sizes, counted=counted)
 
 
 VECTORS = """v AS (
@@ -86,6 +91,12 @@ def collision_candidates(spark: SparkSession, folder: str) -> DataFrame:
     return pairs_of(vectors(spark, folder)).withColumn("sim", F.round("sim", 6))
 
 
+@query(f"WITH {PAIRS} SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs")
+def collision_candidates_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by pivot cells and salted tiles, as for blocks too large for one task."""
+    return pairs_of(vectors(spark, folder), sizes=TIGHT).withColumn("sim", F.round("sim", 6))
+
+
 @query(f"WITH {BEST} SELECT vec_id FROM best WHERE max_sim < {THRESHOLD}")
 def universal_filter(spark: SparkSession, folder: str) -> DataFrame:
     registry, library = split(spark, folder, LIBRARY)
@@ -128,6 +139,14 @@ def top_k_nodes(spark: SparkSession, folder: str) -> DataFrame:
     return hits.withColumn("sim", F.round("sim", 6)).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(f"WITH {ranked(LIBRARY)} SELECT vec_id, ref_id, round(sim, 6) AS sim, rank FROM ranked WHERE rank <= 10")
+def top_k_nodes_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by pivot cells, as for a library too large to send to every task."""
+    registry, nodes = split(spark, folder, LIBRARY)
+    hits = nearest(registry, nodes, 10, "vec_id", "embedding", "vec_id", "embedding", sizes=TIGHT)
+    return hits.withColumn("sim", F.round("sim", 6)).withColumn("rank", F.col("rank").cast("long"))
+
+
 def hints(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     registry, examples = split(spark, folder, EXAMPLES)
     hits = nearest(registry, examples, 3, "vec_id", "embedding", "vec_id", "embedding", THRESHOLD)
@@ -199,8 +218,8 @@ def pair_prompts(spark: SparkSession, folder: str) -> DataFrame:
     return prompts_of_pairs(pairs_of(every), functions, "vec_id", "Judge.")
 
 
-def groups_of(df: DataFrame) -> DataFrame:
-    return group_pairs(near_duplicate_links(df, "vec_id", "embedding", "owner", ["label"], THRESHOLD))
+def groups_of(df: DataFrame, sizes: Sizes = Sizes()) -> DataFrame:
+    return group_pairs(near_duplicate_links(df, "vec_id", "embedding", "owner", ["label"], THRESHOLD, sizes=sizes))
 
 
 @query(f"{GROUPS} SELECT id, group_id FROM grouped")
@@ -209,6 +228,11 @@ def collision_groups(spark: SparkSession, folder: str) -> DataFrame:
     return groups_of(vectors(spark, folder))
 
 
+@query(f"{GROUPS} SELECT id, group_id FROM grouped")
+def collision_groups_cells(spark: SparkSession, folder: str) -> DataFrame:
+    return groups_of(vectors(spark, folder), TIGHT)
+
+
 @query(
     f"""{GROUPS} SELECT vec_id, label, coalesce(group_id, 'NO_COLLISION') AS collision_group,
 CASE WHEN group_id IS NULL THEN 'FALSE' ELSE 'REAL' END AS collision_verdict

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexroll.operators.reports import LINE_ORDER
 
@@ -13,7 +13,9 @@ def write_documents(lines: DataFrame, path: str) -> None:
     A page of any length is split by range over tasks; its part files in name order are
     the page.
     """
-    ordered = lines.repartitionByRange(*LINE_ORDER).sortWithinPartitions(*LINE_ORDER)
+    # a name that cannot be NULL lets the writer keep this order instead of sorting by name
+    named = lines.withColumn("doc_name", F.coalesce("doc_name", F.lit("unnamed.md")))
+    ordered = named.repartitionByRange(*LINE_ORDER).sortWithinPartitions(*LINE_ORDER)
     ordered.select("doc_name", "line").write.mode("errorifexists").partitionBy("doc_name").text(path)
 
 

@@ -88,9 +88,10 @@ def test_row_numbers_with_a_hot_key(spark):
         expected[key, pos] = seen[key]
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        found = {(r["k"], r["pos"]): r["n"] for r in row_numbers(df, ["k"], ["pos"], "n").collect()}
-        every = {r["pos"]: r["n"] for r in row_numbers(df, [], ["pos"], "n").collect()}
+        for bound in (0, 10**6):
+            found = {(r["k"], r["pos"]): r["n"] for r in row_numbers(df, ["k"], ["pos"], "n", bound).collect()}
+            every = {r["pos"]: r["n"] for r in row_numbers(df, [], ["pos"], "n", bound).collect()}
+            assert found == expected
+            assert every == {pos: pos + 1 for _, pos in rows}
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert found == expected
-    assert every == {pos: pos + 1 for _, pos in rows}
