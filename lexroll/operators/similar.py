@@ -301,7 +301,7 @@ def _small_library(library: DataFrame, id_col: str, vec_col: str, sizes: Sizes):
     if rows_up_to(library, sizes.broadcast_cells // width) is None:
         return None
     table = library.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).orderBy("id").toArrow()
-    return table["id"].to_pylist(), unit(matrix(table["vec"]))
+    return table["id"].combine_chunks(), unit(matrix(table["vec"]))
 
 
 def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -326,7 +326,7 @@ def max_similarity(df: DataFrame, library: DataFrame, id_col: str, vec_col: str,
     if small is None:
         best = nearest(df, library, 1, id_col, vec_col, lib_id, lib_vec, sizes=sizes)
         return df.join(best.select(id_col, F.col("sim").alias("max_sim")), id_col, "left")
-    if not small[0]:
+    if not len(small[0]):
         return df.withColumn("max_sim", F.lit(None).cast("double"))
     shared = df.sparkSession.sparkContext.broadcast(small[1])
 
@@ -401,12 +401,12 @@ def _nearest_of_small(rows: DataFrame, small, k: int, id_type: str, sizes: Sizes
     """One pass over the rows with the whole library at hand; no shuffle."""
     shared = rows.sparkSession.sparkContext.broadcast(small)
 
-    @F.arrow_udf("array<struct<pos:int,sim:double>>")
+    @F.arrow_udf(f"array<struct<ref_id:{id_type},sim:double>>")
     def best_of(vectors: pa.Array) -> pa.Array:
         ids, lib = shared.value
-        kind = pa.list_(pa.struct([("pos", pa.int32()), ("sim", pa.float64())]))
-        if len(vectors) == 0 or not ids:
-            return pa.array([[] for _ in range(len(vectors))], kind)
+        if len(vectors) == 0 or len(ids) == 0:
+            kind = pa.struct([("ref_id", ids.type), ("sim", pa.float64())])
+            return pa.array([[] for _ in range(len(vectors))], pa.list_(kind))
         units = unit(matrix(vectors))
         cols, vals, counts = [], [], []
         for i in range(0, len(units), sizes.strip):
@@ -415,19 +415,13 @@ def _nearest_of_small(rows: DataFrame, small, k: int, id_type: str, sizes: Sizes
             cols.append(col), vals.append(sims[row, col])
             counts.append(np.bincount(row, minlength=len(sims)))
         ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
-        entries = pa.StructArray.from_arrays(
-            [pa.array(np.concatenate(cols), pa.int32()), pa.array(np.concatenate(vals))], ["pos", "sim"]
-        )
+        refs = ids.take(pa.array(np.concatenate(cols)))
+        entries = pa.StructArray.from_arrays([refs, pa.array(np.concatenate(vals))], ["ref_id", "sim"])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries)
 
-    names = rows.sparkSession.createDataFrame(
-        list(enumerate(small[0])), f"pos int, ref_id {id_type}"
-    )
     hits = rows.withColumn("_best", best_of(F.col("vec"))).drop("vec")
-    return (
-        hits.select("*", F.posexplode("_best").alias("_rank", "_hit"))
-        .select("*", F.col("_hit.pos").alias("pos"), F.col("_hit.sim").alias("sim"), (F.col("_rank") + 1).alias("rank"))
-        .join(F.broadcast(names), "pos")
+    return hits.select("*", F.posexplode("_best").alias("_rank", "_hit")).select(
+        "*", F.col("_hit.ref_id").alias("ref_id"), F.col("_hit.sim").alias("sim"), (F.col("_rank") + 1).alias("rank")
     )
 
 
