@@ -33,11 +33,37 @@ class Cells:
     radii: np.ndarray
 
 
-def pick_pivots(df: DataFrame, id_col: str, vec_col: str, count: int) -> np.ndarray:
-    """``count`` vectors in hash order of the id: a repeatable, bounded draw."""
+def draw_vectors(df: DataFrame, id_col: str, vec_col: str, count: int) -> np.ndarray:
+    """At most ``count`` distinct unit vectors, in hash order of the id: a bounded and
+    repeatable draw."""
     drawn = df.select(vec_col).orderBy(F.xxhash64(id_col), F.col(id_col)).limit(count)
-    table = drawn.toArrow()
-    return unit(np.unique(matrix(table[vec_col]), axis=0))
+    rows = matrix(drawn.toArrow()[vec_col])
+    _, first = np.unique(rows, axis=0, return_index=True)
+    return unit(rows[np.sort(first)])
+
+
+def pick_pivots(df: DataFrame, id_col: str, vec_col: str, most: int, least: int, reach: float, draw: int) -> np.ndarray:
+    """``most`` pivots, or ``least`` where angles tell cells apart too poorly to skip half
+    of them, since each cell that is visited costs a copy of the row."""
+    drawn = draw_vectors(df, id_col, vec_col, max(draw, most))
+    pivots = drawn[:most]
+    away = angles(drawn, pivots)
+    home = np.argmin(away, axis=1)
+    radii = np.zeros(len(pivots))
+    np.maximum.at(radii, home, away[np.arange(len(drawn)), home])
+    share = open_cells(drawn, np.full(len(drawn), reach), pivots, radii).mean()
+    return pivots if share <= 0.5 else pivots[:least]
+
+
+def open_cells(rows: np.ndarray, reach: np.ndarray, pivots: np.ndarray, radii: np.ndarray) -> np.ndarray:
+    """Which cells (columns) may hold a partner of a unit row within its reach."""
+    limit = reach[:, None] + SLACK
+    cos = np.clip(rows @ pivots.T, -1.0, 1.0)
+    home = np.argmax(cos, axis=1)
+    apart = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))[home]
+    lead = cos[np.arange(len(rows)), home][:, None] - cos
+    beyond = np.arcsin(np.clip(lead / np.where(apart < 1e-9, np.inf, apart), 0.0, 1.0))
+    return (np.arccos(cos) <= radii[None, :] + limit) & (beyond <= limit)
 
 
 def with_cell(df: DataFrame, vec_col: str, pivots: np.ndarray) -> DataFrame:
@@ -60,9 +86,8 @@ def with_cell(df: DataFrame, vec_col: str, pivots: np.ndarray) -> DataFrame:
     )
 
 
-def build_cells(df: DataFrame, id_col: str, vec_col: str, count: int) -> tuple[DataFrame, Cells]:
+def build_cells(df: DataFrame, vec_col: str, pivots: np.ndarray) -> tuple[DataFrame, Cells]:
     """Assign every row of ``df`` to a cell; the result is cut from its lineage."""
-    pivots = pick_pivots(df, id_col, vec_col, count)
     assigned = cut_lineage(with_cell(df, vec_col, pivots))
     radii = np.zeros(len(pivots))
     for row in assigned.groupBy("cell").agg(F.max("spread").alias("r")).collect():
@@ -79,16 +104,8 @@ def reachable(df: DataFrame, vec: Column, reach: Column, cells: Cells) -> Column
         n = len(vectors)
         if n == 0:
             return pa.array([], pa.list_(pa.int32()))
-        pivots, radii = shared.value
-        rows = unit(matrix(vectors))
-        limit = reaches.to_numpy(zero_copy_only=False)[:, None] + SLACK
-        cos = np.clip(rows @ pivots.T, -1.0, 1.0)
-        home = np.argmax(cos, axis=1)
-        apart = np.sqrt(np.maximum(2.0 - 2.0 * (pivots @ pivots.T), 0.0))[home]
-        lead = cos[np.arange(n), home][:, None] - cos
-        beyond = np.arcsin(np.clip(lead / np.where(apart < 1e-9, np.inf, apart), 0.0, 1.0))
-        open_cells = (np.arccos(cos) <= radii[None, :] + limit) & (beyond <= limit)
-        row, cell = np.nonzero(open_cells)
+        reaches = reaches.to_numpy(zero_copy_only=False)
+        row, cell = np.nonzero(open_cells(unit(matrix(vectors)), reaches, *shared.value))
         ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=n))])
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cell, pa.int32()))
 

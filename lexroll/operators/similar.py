@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from lexroll.functions.vectors import SIM_DIGITS, matrix, unit
-from lexroll.operators.cells import build_cells, pick_pivots, reachable, tile_join
+from lexroll.operators.cells import build_cells, draw_vectors, pick_pivots, reachable, tile_join
 from lexroll.operators.lineage import broadcast_if_small, cut_lineage, rows_up_to
 from lexroll.profile import BOILERPLATE_THRESHOLD, PAIR_THRESHOLD
 
@@ -151,9 +151,12 @@ def _pair_blocks(small: DataFrame, threshold: float, sizes: Sizes) -> DataFrame:
 
 def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Sizes) -> DataFrame:
     """Similar pairs among the rows of blocks too large for one task."""
-    count = int(min(sizes.max_pivots, max(2, 4 * math.ceil(largest / sizes.tile))))
-    assigned, cells = build_cells(classes, "id", "vec", count)
-    reach = F.lit(math.acos(max(-1.0, min(1.0, threshold))))
+    parts = math.ceil(largest / sizes.tile)
+    least, most = (int(min(sizes.max_pivots, max(2, n))) for n in (parts, 4 * parts))
+    angle = math.acos(max(-1.0, min(1.0, threshold)))
+    pivots = pick_pivots(classes, "id", "vec", most, least, angle, sizes.sample)
+    assigned, cells = build_cells(classes, "vec", pivots)
+    reach = F.lit(angle)
     routed = (
         assigned.withColumn("_target", F.explode(reachable(assigned, F.col("vec"), reach, cells)))
         .where(F.col("_target") >= F.col("cell"))
@@ -429,9 +432,8 @@ def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, size
     """Two rounds.  A bounded sample gives each row a radius that holds at least k entries;
     then only the cells within that radius are searched, so the answer is exact."""
     lib = library.select(F.col(lib_id).alias("ref_id"), F.col(lib_vec).alias("vec"))
-    sample = pick_pivots(lib, "ref_id", "vec", sizes.sample)
-    cells_count = int(min(sizes.max_pivots, max(2, len(sample) // 16)))
-    assigned, cells = build_cells(lib, "ref_id", "vec", cells_count)
+    sample = draw_vectors(lib, "ref_id", "vec", sizes.sample)
+    assigned, cells = build_cells(lib, "vec", sample[: min(sizes.max_pivots, max(2, len(sample) // 16))])
     shared = rows.sparkSession.sparkContext.broadcast(sample)
     ceiling = math.pi if threshold is None else math.acos(max(-1.0, min(1.0, threshold)))
 
