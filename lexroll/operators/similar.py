@@ -45,8 +45,8 @@ def block_key(columns: list[str]) -> Column:
     )
 
 
-def _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ) -> DataFrame:
-    """Rows that take part in pairing: block, id, owner and vector, nothing else."""
+def _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ, fresh_col=None) -> DataFrame:
+    """Rows that take part in pairing: block, id, owner, vector and freshness, nothing else."""
     blocks = [c for c in block_cols if c in df.columns]
     if exclude is not None:
         column, label = exclude
@@ -59,6 +59,7 @@ def _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_diff
         F.col(id_col).cast("string").alias("id"),
         owner.alias("owner"),
         F.col(vec_col).alias("vec"),
+        (F.lit(True) if fresh_col is None else F.col(fresh_col)).alias("fresh"),
     ).where(F.col("owner").isNotNull() & F.col("vec").isNotNull())
 
 
@@ -78,49 +79,61 @@ def _codes(*columns) -> list[np.ndarray]:
     return np.split(merged.to_numpy(zero_copy_only=False), np.cumsum(lengths)[:-1])
 
 
+def _flags(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().astype(bool)
+
+
+def _found(ids_a, ids_b, parts: list[tuple]) -> pa.Table:
+    a, b, sim = (np.concatenate(x) for x in zip(*parts)) if parts else ([], [], [])
+    return _emit(ids_a[a] if len(a) else [], ids_b[b] if len(b) else [], sim)
+
+
 def _pair_kernel(threshold: float, strip: int):
-    """Pairs of one table with itself: similar, and not both wholly of one owner."""
+    """Pairs of one table with itself: similar, one fresh, not both wholly of one owner."""
 
     def kernel(rows: pa.Table) -> pa.Table:
-        ids = rows["id"].to_numpy()
+        ids, fresh = rows["id"].to_numpy(), _flags(rows["fresh"])
         low, high = _codes(rows["low"], rows["high"])
         units = unit(matrix(rows["vec"]))
-        found_a, found_b, found_s = [], [], []
-        for start in range(0, len(ids), strip):
-            sims = units[start : start + strip] @ units[start:].T
+        new = np.nonzero(fresh)[0]
+        parts = []
+        for at in range(0, len(new), strip):
+            asked = new[at : at + strip]
+            first = asked[0] if fresh.all() else 0  # earlier rows have met these already
+            sims = units[asked] @ units[first:].T
             a, b = np.nonzero(sims >= threshold)
-            later = b > a
-            a, b = a[later], b[later]
             sim = sims[a, b]
-            a, b = a + start, b + start
+            a, b = asked[a], b + first
             alike = (low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b])
-            found_a.append(ids[a[~alike]]), found_b.append(ids[b[~alike]]), found_s.append(sim[~alike])
-        return _emit(np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_s))
+            keep = ((b > a) | ~fresh[b]) & ~alike
+            parts.append((a[keep], b[keep], sim[keep]))
+        return _found(ids, ids, parts)
 
     return kernel
 
 
 def _cross_kernel(threshold: float, strip: int):
-    """As above for rows that came visiting a cell and the rows at home there."""
+    """As above for fresh rows that came to a cell and the rows at home there."""
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
             return _emit([], [], [])
         ids_l, ids_r = left["id"].to_numpy(), right["id"].to_numpy()
         low_l, high_l, low_r, high_r = _codes(left["low"], left["high"], right["low"], right["high"])
-        visits = ~left["at_home"].to_numpy(zero_copy_only=False).astype(bool)
+        at_home, ahead, fresh = _flags(left["at_home"]), _flags(left["ahead"]), _flags(right["fresh"])
         units_l, units_r = unit(matrix(left["vec"])), unit(matrix(right["vec"]))
-        found_a, found_b, found_s = [], [], []
+        parts = []
         for start in range(0, len(ids_l), strip):
             sims = units_l[start : start + strip] @ units_r.T
             a, b = np.nonzero(sims >= threshold)
             sim = sims[a, b]
             a = a + start
-            once = visits[a] | (ids_l[a] < ids_r[b])  # at home both orders meet
+            # two fresh rows meet in both cells, or in both orders at home: one meeting counts
+            once = ~fresh[b] | ahead[a] | (at_home[a] & (ids_l[a] < ids_r[b]))
             alike = (low_l[a] == high_l[a]) & (low_r[b] == high_r[b]) & (low_l[a] == low_r[b])
             keep = once & ~alike
-            found_a.append(ids_l[a[keep]]), found_b.append(ids_r[b[keep]]), found_s.append(sim[keep])
-        return _emit(np.concatenate(found_a), np.concatenate(found_b), np.concatenate(found_s))
+            parts.append((a[keep], b[keep], sim[keep]))
+        return _found(ids_l, ids_r, parts)
 
     return kernel
 
@@ -145,22 +158,26 @@ def _by_size(items: DataFrame, counted: DataFrame, tile: int) -> Blocks:
 
 
 def _pair_blocks(small: DataFrame, threshold: float, sizes: Sizes) -> DataFrame:
-    rows = small.select("block", "id", F.col("owner").alias("low"), F.col("owner").alias("high"), "vec")
+    rows = small.select("block", "id", F.col("owner").alias("low"), F.col("owner").alias("high"), "vec", "fresh")
     return rows.groupBy("block").applyInArrow(_pair_kernel(threshold, sizes.strip), PAIR_SCHEMA)
 
 
-def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Sizes) -> DataFrame:
-    """Similar pairs among the rows of blocks too large for one task."""
+def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Sizes, partly: bool) -> DataFrame:
+    """Similar pairs among the rows of blocks too large for one task.
+
+    Fresh rows visit cells.  If all are fresh, visiting the later cells is enough.
+    """
     parts = math.ceil(largest / sizes.tile)
     least, most = (int(min(sizes.max_pivots, max(2, n))) for n in (parts, 4 * parts))
     angle = math.acos(max(-1.0, min(1.0, threshold)))
     pivots = pick_pivots(classes, "id", "vec", most, least, angle, sizes.sample)
     assigned, cells = build_cells(classes, "vec", pivots)
     reach = F.lit(angle)
+    visits = assigned.where("fresh").withColumn("_target", F.explode(reachable(assigned, F.col("vec"), reach, cells)))
     routed = (
-        assigned.withColumn("_target", F.explode(reachable(assigned, F.col("vec"), reach, cells)))
-        .where(F.col("_target") >= F.col("cell"))
+        (visits if partly else visits.where(F.col("_target") >= F.col("cell")))
         .withColumn("at_home", F.col("_target") == F.col("cell"))
+        .withColumn("ahead", F.col("_target") > F.col("cell"))
         .withColumn("cell", F.col("_target"))
         .drop("_target")
     )
@@ -169,7 +186,7 @@ def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Siz
     )
 
 
-def similar_classes(items: DataFrame, large: DataFrame, largest: int, threshold: float, sizes: Sizes):
+def similar_classes(items: DataFrame, large: DataFrame, largest: int, threshold: float, sizes: Sizes, partly: bool):
     """Pairs between distinct vectors of the large blocks, and which rows share a vector.
 
     A class is one vector within one block.  It is named by its smallest id and keeps its
@@ -184,27 +201,32 @@ def similar_classes(items: DataFrame, large: DataFrame, largest: int, threshold:
             F.min("id").alias("id"),
             F.min("owner").alias("low"),
             F.max("owner").alias("high"),
-            F.count("*").alias("n"),
+            F.max("fresh").alias("fresh"),
             F.first("vec").alias("vec"),
         )
     )
-    edges = _pair_classes(classes.drop("digest", "n"), largest, threshold, sizes)
+    edges = _pair_classes(classes.drop("digest"), largest, threshold, sizes, partly)
     members = held.join(classes.select("block", "digest", F.col("id").alias("class")), ["block", "digest"])
-    return classes, edges, members.select("class", "id", "owner")
+    return classes, edges, members.select("class", "id", "owner", "fresh")
 
 
 def _expand(classes, edges, members, threshold) -> DataFrame:
     """Pairs of rows from pairs of classes; its size is that of the result."""
-    a = members.select(F.col("class").alias("id_a"), F.col("id").alias("row_a"), F.col("owner").alias("owner_a"))
-    b = members.select(F.col("class").alias("id_b"), F.col("id").alias("row_b"), F.col("owner").alias("owner_b"))
-    between = edges.join(a, "id_a").join(b, "id_b").where("owner_a <> owner_b")
+    a, b = (
+        members.select(
+            F.col("class").alias(f"id_{x}"), F.col("id").alias(f"row_{x}"), F.col("owner").alias(f"owner_{x}"), F.col("fresh").alias(f"fresh_{x}")
+        )
+        for x in ("a", "b")
+    )
+    wanted = "owner_a <> owner_b AND (fresh_a OR fresh_b)"
+    between = edges.join(a, "id_a").join(b, "id_b").where(wanted)
     shared = classes.where("low <> high").select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), "vec")
     zero = F.forall("vec", lambda x: x == 0)
     within = (
         shared.select("id_a", "id_b", F.when(zero, 0.0).otherwise(1.0).alias("sim"))
         .where(F.col("sim") >= threshold)
         .join(a, "id_a").join(b, "id_b")
-        .where("owner_a <> owner_b AND row_a < row_b")
+        .where(f"{wanted} AND row_a < row_b")
     )
     return between.unionByName(within).select(
         F.least("row_a", "row_b").alias("id_a"), F.greatest("row_a", "row_b").alias("id_b"), "sim"
@@ -222,6 +244,7 @@ def near_duplicate_pairs(
     null_owners_differ: bool = False,
     sizes: Sizes = Sizes(),
     counted: DataFrame | None = None,
+    fresh_col: str | None = None,
 ) -> DataFrame:
     """(id_a, id_b, sim): rows of one block and different owners, cosine >= threshold.
 
@@ -230,15 +253,16 @@ def near_duplicate_pairs(
     a (column, label) whose rows stay out.  A block that fits one task is compared there;
     larger ones go through pivot cells, with copies of a vector compared once.  Block sizes
     are counted on ``counted``, if given: a frame that is cheaper to count and lacks none of
-    the rows.
+    the rows.  With a boolean ``fresh_col`` only pairs with a fresh row are looked for, at a
+    cost of fresh rows times all rows.
     """
-    items = _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ)
+    items = _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ, fresh_col)
     if counted is not None:
         counted = counted.select(block_key([c for c in block_cols if c in df.columns]).alias("block"))
     blocks = _by_size(items, items if counted is None else counted, sizes.tile)
     pairs = _pair_blocks(blocks.small, threshold, sizes)
     if blocks.large is not None:
-        found = similar_classes(items, blocks.large, blocks.largest, threshold, sizes)
+        found = similar_classes(items, blocks.large, blocks.largest, threshold, sizes, fresh_col is not None)
         pairs = pairs.unionByName(_expand(*found, threshold))
     return pairs
 
@@ -266,7 +290,7 @@ def near_duplicate_links(
     pairs = _pair_blocks(blocks.small, threshold, sizes)
     if blocks.large is None:
         return pairs.select("id_a", "id_b")
-    classes, edges, members = similar_classes(items, blocks.large, blocks.largest, threshold, sizes)
+    classes, edges, members = similar_classes(items, blocks.large, blocks.largest, threshold, sizes, False)
     edges = cut_lineage(edges)
     zero = F.forall("vec", lambda x: x == 0)
     shared = classes.where(

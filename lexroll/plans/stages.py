@@ -184,26 +184,30 @@ def collide(
 ) -> Collided:
     """Add ``collision_group`` and ``collision_verdict``; also the judged pairs.
 
-    Only blocks with pending rows are compared, pending and finished rows alike; ``known``
-    (id_a, id_b, verdict) are the pairs judged earlier, of which those in error are judged
-    again.  Groups are made of all real pairs.  ``universal`` is (text).
+    ``known`` (id_a, id_b, verdict) are the pairs judged earlier.  With them, pending rows
+    are compared with all rows of their blocks, and pairs in error are judged again; without
+    them everything is.  Groups are made of all real pairs.  ``universal`` is (text).
     """
-    todo, _ = stage.split_pending(registry, "collision_group")
     blocks = [c for c in block_cols if c in registry.columns]
-    keyed = registry.withColumn("_block", similar.block_key(blocks))
-    live = todo.select(similar.block_key(blocks).alias("_block")).distinct()
-    vectors = embed(keyed.join(live, "_block", "left_semi"), "function_text", encode)
+    keyed = registry.withColumn("_block", similar.block_key(blocks)).withColumn("_fresh", F.lit(True))
+    if known is not None:
+        if "collision_group" in registry.columns:
+            keyed = keyed.withColumn("_fresh", stage.is_pending("collision_group"))
+        keyed = keyed.join(keyed.where("_fresh").select("_block").distinct(), "_block", "left_semi")
+    vectors = embed(keyed, "function_text", encode)
     kept = vectors
     if universal is not None:
         library = embed(universal.select("text").distinct(), "text", encode)
         kept = similar.drop_boilerplate(vectors, library, "row_ord", "embedding", "text", "embedding", universal_threshold, sizes)
     exclude = ("true_type", catch_all) if catch_all and "true_type" in registry.columns else None
     pairs = similar.near_duplicate_pairs(
-        kept, "row_ord", "embedding", "executor", blocks, threshold, exclude, sizes=sizes, counted=vectors
-    )
+        kept, "row_ord", "embedding", "executor", blocks, threshold, exclude,
+        sizes=sizes, counted=vectors, fresh_col=None if known is None else "_fresh",
+    ).select("id_a", "id_b")
     if known is not None:
         settled = known.where("verdict <> 'ERROR'")
-        pairs = pairs.join(settled.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
+        again = known.where("verdict = 'ERROR'").select("id_a", "id_b")
+        pairs = pairs.unionByName(again).distinct().join(settled.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
     shown = registry.select(
         "row_ord", "function_id", "executor", *[(F.col(c) if c in registry.columns else F.lit(None)).alias(n) for c, n in (("true_type", "type"), ("sphere", "sphere"))],
         F.col("function_text").alias("text"),

@@ -63,7 +63,16 @@ def test_missing_owners_can_count_as_different(spark):
         assert pairs(frame(spark, rows), 0.8, Sizes(tile=tile), null_owners_differ=True) == expected
 
 
-def test_reference_case_and_blocks(spark):
+@pytest.mark.parametrize("sizes", [Sizes(strip=16), Sizes(tile=30, max_pivots=8)])
+def test_fresh_rows_meet_all_rows(spark, sizes):
+    rows = random_rows(seed=4, n=200)
+    fresh = {r[0] for i, r in enumerate(rows) if i % 4 == 1}
+    df = frame(spark, rows).withColumn("new", F.col("id").isin(*fresh))
+    expected = {p for p in brute_pairs(rows, 0.8) if fresh & set(p)}
+    assert pairs(df, 0.8, sizes, fresh_col="new") == expected
+
+
+def test_known_case_and_blocks(spark):
     rows = [
         ("GO1-1", [1.0, 0.0, 0.0], "Agency 1", "x"),
         ("GO1-2", [0.5, 0.5, 0.0], "Agency 1", "x"),
