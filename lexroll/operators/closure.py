@@ -51,8 +51,8 @@ def connected_groups(links: DataFrame, a: str = "id_a", b: str = "id_b") -> Data
 
 def _only_stars(edges: DataFrame) -> bool:
     """No id hangs on two others, and none both hangs on one and is hung on."""
-    role = F.explode(F.array(F.struct(F.col("u").alias("id"), F.lit(1).alias("hangs")), F.struct(F.col("v").alias("id"), F.lit(0).alias("hangs"))))
-    roles = edges.select(role.alias("r")).groupBy("r.id").agg(
+    ends = [F.struct(F.col(c).alias("id"), F.lit(hangs).alias("hangs")) for c, hangs in (("u", 1), ("v", 0))]
+    roles = edges.select(F.explode(F.array(*ends)).alias("r")).groupBy("r.id").agg(
         F.sum("r.hangs").alias("ups"), F.count_if(F.col("r.hangs") == 0).alias("downs")
     )
     return roles.where("ups > 1 OR (ups > 0 AND downs > 0)").isEmpty()

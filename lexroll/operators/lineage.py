@@ -11,22 +11,25 @@ BROADCAST_ROWS = 200_000
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as named in ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="spark-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
+
+    Where the session names none, one set on the context will do; in local mode, a
+    temporary one.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        folder = tempfile.mkdtemp(prefix="spark-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

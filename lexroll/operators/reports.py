@@ -54,7 +54,15 @@ def run_metrics(sections: DataFrame, doc_col: str) -> DataFrame:
     )
 
 
-def _lines(df: DataFrame, doc: Column, owner: Column, part: int, lines: Column, key: Column | None = None, row: Column | None = None) -> DataFrame:
+def _lines(
+    df: DataFrame,
+    doc: Column,
+    owner: Column,
+    part: int,
+    lines: Column,
+    key: Column | None = None,
+    row: Column | None = None,
+) -> DataFrame:
     head = df.select(
         doc.alias("doc_name"),
         owner.alias("owner"),

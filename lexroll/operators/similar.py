@@ -214,7 +214,10 @@ def _expand(classes, edges, members, threshold) -> DataFrame:
     """Pairs of rows from pairs of classes; its size is that of the result."""
     a, b = (
         members.select(
-            F.col("class").alias(f"id_{x}"), F.col("id").alias(f"row_{x}"), F.col("owner").alias(f"owner_{x}"), F.col("fresh").alias(f"fresh_{x}")
+            F.col("class").alias(f"id_{x}"),
+            F.col("id").alias(f"row_{x}"),
+            F.col("owner").alias(f"owner_{x}"),
+            F.col("fresh").alias(f"fresh_{x}"),
         )
         for x in ("a", "b")
     )
@@ -346,7 +349,15 @@ def _best(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return row[keep], col[keep]
 
 
-def max_similarity(df: DataFrame, library: DataFrame, id_col: str, vec_col: str, lib_id: str, lib_vec: str, sizes: Sizes = Sizes()) -> DataFrame:
+def max_similarity(
+    df: DataFrame,
+    library: DataFrame,
+    id_col: str,
+    vec_col: str,
+    lib_id: str,
+    lib_vec: str,
+    sizes: Sizes = Sizes(),
+) -> DataFrame:
     """``df`` with ``max_sim``, its largest cosine to the library (NULL without a library)."""
     library = library.where(F.col(lib_vec).isNotNull())
     small = _small_library(library, lib_id, lib_vec, sizes)

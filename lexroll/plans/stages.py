@@ -208,8 +208,13 @@ def collide(
         settled = known.where("verdict <> 'ERROR'")
         again = known.where("verdict = 'ERROR'").select("id_a", "id_b")
         pairs = pairs.unionByName(again).distinct().join(settled.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
+    given = lambda c: F.col(c) if c in registry.columns else F.lit(None)
     shown = registry.select(
-        "row_ord", "function_id", "executor", *[(F.col(c) if c in registry.columns else F.lit(None)).alias(n) for c, n in (("true_type", "type"), ("sphere", "sphere"))],
+        "row_ord",
+        "function_id",
+        "executor",
+        given("true_type").alias("type"),
+        given("sphere").alias("sphere"),
         F.col("function_text").alias("text"),
     )
     asked = labels.pair_prompts(pairs, shown, "row_ord", template, "function_id")

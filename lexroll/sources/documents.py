@@ -40,8 +40,10 @@ def _office_paragraphs(content: bytes) -> list[str]:
         body = ElementTree.fromstring(archive.read("word/document.xml")).find(f"{W}body")
     texts = []
     for paragraph in body.findall(f"{W}p"):
-        runs = [r for child in paragraph for r in ([child] if child.tag == f"{W}r" else child.findall(f"{W}r") if child.tag == f"{W}hyperlink" else [])]
-        pieces = (part for run in runs for part in run)
+        pieces = []
+        for child in paragraph:
+            runs = [child] if child.tag == f"{W}r" else child.findall(f"{W}r") if child.tag == f"{W}hyperlink" else []
+            pieces += [part for run in runs for part in run]
         texts.append("".join(p.text or "" if p.tag == f"{W}t" else MARKS.get(p.tag.removeprefix(W), "") for p in pieces))
     return texts
 

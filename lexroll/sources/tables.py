@@ -47,7 +47,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
         as_bytes = "ISO-8859-1" if encoding == "windows-1251" else encoding  # Spark's reader lacks the former
         table = spark.read.csv(path, header=True, encoding=as_bytes, sep=guess_separator(spark, path))
         if encoding == "windows-1251":
-            table = table.select(*[F.translate(f"`{c}`", *CYRILLIC_BYTES).alias(c.translate(str.maketrans(*CYRILLIC_BYTES))) for c in table.columns])
+            names = [c.translate(str.maketrans(*CYRILLIC_BYTES)) for c in table.columns]
+            table = table.select(*[F.translate(f"`{c}`", *CYRILLIC_BYTES) for c in table.columns]).toDF(*names)
         return table.toDF(*[c.lstrip("﻿") for c in table.columns])
     raise ValueError(f"Unsupported file format: {path}")
 
