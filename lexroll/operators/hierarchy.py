@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.functions.text import abbreviate, level_of
 from lexroll.operators.lineage import cut_lineage
@@ -17,37 +17,41 @@ def build_nodes(sections: DataFrame, rules: NameRules = NameRules()) -> DataFram
     name, the earlier one of equals.  Bodies that are only named as parents are nodes too.
     ``conflict`` marks bodies with more than one parent.
     """
-    own = sections.select(
-        F.col("main").alias("name"),
-        F.struct(F.col("ord"), F.lit(0).alias("as_parent")).alias("seen"),
-        F.coalesce(F.when(F.col("full_name") != "", F.col("full_name")), F.col("main")).alias("full"),
-        F.when(F.trim("parent") != "", F.trim("parent")).alias("parent"),
-        F.lit(None).cast("string").alias("child"),
-    )
-    named = own.where("parent IS NOT NULL").select(
-        F.col("parent").alias("name"),
-        F.struct(F.col("seen.ord").alias("ord"), F.lit(1).alias("as_parent")).alias("seen"),
-        F.col("parent").alias("full"),
-        F.lit(None).cast("string").alias("parent"),
-        F.col("name").alias("child"),
+    full = F.coalesce(F.when(F.col("full_name") != "", F.col("full_name")), F.col("main"))
+    # once per body and parent: what follows is small, and every child counts once
+    spoken = sections.groupBy("main", F.when(F.trim("parent") != "", F.trim("parent")).alias("parent")).agg(
+        F.min("ord").alias("ord"),
+        # the longest name; of equals, the one seen first
+        F.min(F.struct((-F.length(full)).alias("shorter"), F.col("ord"), full.alias("full"))).alias("longest"),
     )
-    mentions = own.unionByName(named)
-    links = mentions.where("child IS NOT NULL").select("name", "child").distinct()
-    children = links.groupBy("name").agg(F.count("*").alias("children"))
-    nodes = mentions.groupBy("name").agg(
+
+    def mention(name: str, as_parent: int, ord: str, shorter: Column, full: str, parent: Column) -> DataFrame:
+        seen = F.struct(F.col("ord"), F.lit(as_parent).alias("as_parent"))
+        longest_seen = F.struct(F.col(ord).alias("ord"), F.lit(as_parent).alias("as_parent"))
+        return spoken.select(
+            F.col(name).alias("name"),
+            seen.alias("seen"),
+            F.struct(shorter.alias("shorter"), longest_seen.alias("seen"), F.col(full).alias("full")).alias("longest"),
+            parent.alias("parent"),
+            F.lit(as_parent).alias("child"),
+        )
+
+    own = mention("main", 0, "longest.ord", F.col("longest.shorter"), "longest.full", F.col("parent"))
+    named = mention("parent", 1, "ord", -F.length("parent"), "parent", F.lit(None).cast("string")).where("name IS NOT NULL")
+    nodes = own.unionByName(named).groupBy("name").agg(
         F.min("seen").alias("seen"),
         F.min(F.when(F.col("parent").isNotNull(), F.struct("seen", "parent"))).alias("first"),
-        # the longest name; of equals, the one seen first
-        F.min(F.struct((-F.length("full")).alias("shorter"), F.col("seen"), F.col("full"))).alias("longest"),
+        F.min("longest").alias("longest"),
         (F.min("parent") != F.max("parent")).alias("conflict"),
+        F.sum("child").alias("children"),
     )
-    return nodes.join(children, "name", "left").select(
+    return nodes.select(
         "name",
         F.col("longest.full").alias("full_name"),
         F.col("first.parent").alias("parent_name"),
         abbreviate(F.col("name"), rules).alias("abbreviation"),
         level_of(F.col("name"), rules).alias("level"),
-        F.coalesce("children", F.lit(0)).alias("children"),
+        "children",
         F.coalesce("conflict", F.lit(False)).alias("conflict"),
         F.col("seen.ord").alias("ord"),
         F.col("seen.as_parent").alias("as_parent"),
