@@ -1,8 +1,9 @@
-"""Cutting lineage and checked broadcasts."""
+"""Cutting lineage through written tables, and checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,13 +14,13 @@ BROADCAST_ROWS = 200_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named in ``spark.checkpoint.dir``.
 
-    Where the session names none, one set on the context will do; in local mode, a
-    temporary one.
+    Where the session names none, one set on the context will do; in local mode, where all
+    tasks run on this machine, a temporary one.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="spark-")
     if context.getCheckpointDir() is None:
@@ -27,10 +28,24 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """This application's own folder under the shared one; Hadoop removes it when the application ends."""
+    folder = f"{shared_folder(spark)}/run-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the run folder: later plans start from it, and read only the columns they use."""
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from the written copy."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return written(df)
 
 
 def rows_up_to(df: DataFrame, bound: int) -> int | None:
