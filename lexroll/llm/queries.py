@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm import bpe, decontaminate, quality_classifier, quality_rules, simhash
+from lexroll.llm import bpe, decontaminate, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +117,113 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op10_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query()
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    model = token_counts.load(spark, public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.token_counts(table(spark, folder, "documents"), model)
+
+
+# Named rules by their length, then the globs as patterns over host and path.
+@query(
+    r"""
+    WITH parts AS (
+        SELECT page_id,
+               translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+               coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+        FROM pages
+    ), rules AS (
+        SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                              ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) AS t(rule_host, rule_path, said)
+    ), fits AS (
+        SELECT host, path, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule,
+               arg_max(said, length(rule_host || rule_path)) AS said
+        FROM (SELECT DISTINCT host, path FROM parts) JOIN rules
+          ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        GROUP BY host, path
+    )
+    SELECT page_id, host, path, rule,
+           CASE WHEN said IS NOT NULL THEN said
+                WHEN regexp_full_match(host || path,
+                     '(?s).*casino.*|.*cheap-pills.*|.*spam.*|([^/]*\.)?ads-track\.[^/]*/.*|.*free-bets.*|([^/]*\.)?adult-[^/]*/.*|.*/wp-login\.php.*|.*/ads/.*')
+                THEN 'block' ELSE 'allow' END AS verdict
+    FROM parts LEFT JOIN fits USING (host, path)
+    """
+)
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"))
+
+
+@query()
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_texts(table(spark, folder, "pages"))
+
+
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(str(x) if isinstance(x, int) else "'" + x + "'" for x in row) + ")" for row in rows)
+
+
+LICENCE_SQL = r"""
+    WITH files AS (
+        SELECT concat_ws('/', source, lang, CAST(doc_id // 1000 AS VARCHAR), doc_id || '.txt') AS path,
+               concat_ws('/', source, lang, CAST(doc_id // 1000 AS VARCHAR)) AS dir, text,
+               list_filter(string_split(text, chr(10)), lambda l: regexp_matches(lower(l), CUES)) AS lines
+        FROM documents
+    ), heads AS (
+        SELECT path, dir, CASE WHEN len(lines) > 0 THEN array_to_string(lines, chr(10)) END AS header, text FROM files
+    ), sized AS (
+        SELECT *, header IS NOT NULL AND len(regexp_extract_all(header, '[^ \t-\r]+')) / len(regexp_extract_all(text, '[^ \t-\r]+')) >= 0.3
+                  AS is_file FROM heads
+    ), headers AS (SELECT header, count(*) AS n FROM heads WHERE header IS NOT NULL GROUP BY header),
+    terms AS (
+        SELECT header, n, term, count(*) AS tf
+        FROM (SELECT header, n, unnest(regexp_extract_all(lower(header), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM headers)
+        GROUP BY header, n, term
+    ), templates AS (SELECT * FROM (VALUES TEMPLATES) AS t(number, licence, wording)),
+    own AS (
+        SELECT number, licence, term, count(*) AS tf
+        FROM (SELECT number, licence, unnest(regexp_extract_all(lower(wording), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM templates)
+        GROUP BY number, licence, term
+    ), total AS (SELECT (SELECT coalesce(sum(n), 0) FROM headers) + (SELECT count(*) FROM templates) AS files),
+    idf AS (
+        SELECT term, ln((1.0::DOUBLE + any_value(files)) / (1.0::DOUBLE + sum(n))) + 1 AS idf
+        FROM (SELECT term, n FROM terms UNION ALL SELECT term, 1 FROM own), total GROUP BY term
+    ), norms AS (SELECT header, sqrt(sum(tf * idf * tf * idf)) AS norm FROM terms JOIN idf USING (term) GROUP BY header),
+    own_norms AS (SELECT number, sqrt(sum(tf * idf * tf * idf)) AS norm FROM own JOIN idf USING (term) GROUP BY number),
+    dots AS (
+        SELECT header, number, licence, sum(terms.tf * idf * own.tf * idf) AS dot
+        FROM terms JOIN own USING (term) JOIN idf USING (term) GROUP BY header, number, licence
+    ), scored AS (
+        SELECT header, licence, round(dot / (norms.norm * own_norms.norm), 6) AS score
+        FROM dots JOIN norms USING (header) JOIN own_norms USING (number)
+    ), best AS (
+        SELECT header, licence, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY header ORDER BY score DESC, licence) AS rank FROM scored)
+        WHERE rank = 1 AND score >= 0.5
+    ), found AS (SELECT path, dir, is_file, licence, score FROM sized LEFT JOIN best USING (header)),
+    said AS (
+        SELECT dir AS above, licence AS inherited
+        FROM (SELECT dir, licence, row_number() OVER (PARTITION BY dir ORDER BY count(*) DESC, licence) AS rank
+              FROM found WHERE is_file AND licence IS NOT NULL GROUP BY dir, licence)
+        WHERE rank = 1
+    ), nearest AS (
+        SELECT dir, arg_max(inherited, length(above)) AS inherited
+        FROM (SELECT DISTINCT dir FROM found) JOIN said ON dir = above OR starts_with(dir, above || '/') OR above = '' GROUP BY dir
+    )
+    SELECT path, coalesce(licence, inherited) AS licence, score,
+           CASE WHEN licence IS NOT NULL THEN 'header' WHEN inherited IS NOT NULL THEN 'inherited' END AS how
+    FROM found LEFT JOIN nearest USING (dir)
+    """.replace("CUES", "'" + "|".join(licences.CUES) + "'").replace(
+    "TEMPLATES", _values((i, n, t) for i, (n, t) in enumerate(licences.TEMPLATES))
+)
+
+
+@query(LICENCE_SQL)
+def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files of a tree by source, language and thousand."""
+    docs = table(spark, folder, "documents")
+    folders = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"))
+    path = F.concat_ws("/", folders, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licences.scan_licences(docs.select(path.alias("path"), "text"))
