@@ -2,7 +2,8 @@
 
 A document's worth is linear in features of its whole text.  A pair of a good and a bad labelled document
 says that the first is worth more; the weights minimise the logistic loss over differences of features.
-A quantile of the learnt scores, the share of bad labels, is the threshold: score 0.5 lies there.
+A quantile of the learnt scores, at the share of bad labels and midway between the scores on either side of it,
+is the threshold: score 0.5 lies there.
 
 Only the fit uses a sample: at most ``max_rows`` labelled documents outside the held-out third (those first
 in the order of a hash of the id) and ``pairs`` pairs of them.  Every document is scored.
@@ -89,7 +90,8 @@ def fit_pairs(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, ridge: float
         if np.abs(step).max() < 1e-6:
             break
     w = w / scale
-    return Ranking(tuple(w), float(np.quantile(x @ w, len(downs) / len(x))))
+    ranked = np.sort(x @ w)
+    return Ranking(tuple(w), float(ranked[len(downs) - 1 : len(downs) + 1].mean()))
 
 
 def learn_quality(

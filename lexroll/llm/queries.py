@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm import bpe, decontaminate, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, url_filter
+from lexroll.llm import bpe, decontaminate, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
+from lexroll.llm.common import per_text
+from lexroll.operators.lineage import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -227,3 +229,19 @@ def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
     folders = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 1000).cast("string"))
     path = F.concat_ws("/", folders, F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     return licences.scan_licences(docs.select(path.alias("path"), "text"))
+
+
+@query()
+def op3_transcripts(spark: SparkSession, folder: str) -> DataFrame:
+    """Chat logs made of the conversations: the model is counted over all of them, then parses each."""
+    logs = written(transcripts.logs_of(table(spark, folder, "conversations")))
+    model = transcripts.learn_model(logs)
+    right = per_text(lambda turns: transcripts.right_lines(turns, model), "struct<n_lines: bigint, n_right: bigint>")
+    parsed = logs.select(
+        "conv_id", "piece", "part", transcripts.parse(F.col("text"), model).alias("found"), right(F.col("turns")).alias("r")
+    )
+    roles = F.array_join(F.transform("found", lambda t: t["role"]), ",")
+    return parsed.select(
+        "conv_id", "piece", "part", "r.*", F.size("found").cast("long").alias("n_turns"), roles.alias("roles"),
+        transcripts.rendered(F.col("found")).alias("rendered"),
+    )
