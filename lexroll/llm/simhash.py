@@ -34,6 +34,7 @@ SHINGLE = 3
 RADIUS = 2
 SEED = 42
 SHARD_ROWS = 2_048
+LEAST_SHARD = 16  # below, shards could not always be split
 
 
 def fingerprint_of(text: str | None, width: int = SHINGLE) -> int:
@@ -161,30 +162,38 @@ def block_masks(free: int, blocks: int) -> list[int]:
 def radius_links(distinct: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """(u, v): links between distinct fingerprints ``fp`` whose components are those of all links in the radius.
 
-    ``held`` marks the bits that the members of a shard share; ``path`` tells shards of earlier rounds apart.
-    Shards are counted before they are gathered, so the rows of a large one never meet in a task.
+    Each round deals all shards that are still too large, whichever bits they share: ``masks`` has those bits for
+    each block of the round before, and ``path`` tells its shards apart.  Shards are counted before they are
+    gathered, so the rows of a large one never meet in a task.
     """
-    todo = [(distinct.select("fp", F.lit(0).cast("long").alias("path")), 0)]
+    shard_rows = max(shard_rows, LEAST_SHARD)
+    every = (1 << BITS) - 1
+    members = distinct.select("fp", F.lit(0).cast("long").alias("path"), F.lit(0).alias("before"))
+    masks = {0: 0}
     links = None
-    while todo:
-        members, held = todo.pop()
-        masks = block_masks(((1 << BITS) - 1) & ~held, radius + 1)
-        keys = [
-            F.struct(F.lit(i).alias("block"), F.xxhash64("path", F.lit(i), _part_of("fp", mask)).alias("shard"))
-            for i, mask in enumerate(masks)
-        ]
-        dealt = members.select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.*")
+    while masks:
+        blocks = {}
+        choices = []
+        for before, held in masks.items():
+            parts = []
+            for mask in block_masks(every & ~held, radius + 1):
+                block = len(blocks)
+                blocks[block] = held | mask
+                shard = F.xxhash64("path", F.lit(block), _part_of("fp", mask))
+                parts.append(F.struct(F.lit(block).alias("block"), shard.alias("shard")))
+            choices.append(F.when(F.col("before") == before, F.array(*parts)))
+        dealt = members.select("fp", F.explode(F.coalesce(*choices)).alias("key")).select("fp", "key.*")
         large = written(dealt.groupBy("block", "shard").agg(F.count("*").alias("n")).where(F.col("n") > shard_rows))
-        blocks = sorted(r[0] for r in large.select("block").distinct().collect())  # radius + 1 at most
-        if blocks:
+        again = sorted(r[0] for r in large.select("block").distinct().collect())  # of a few numbers
+        if again:
             marks = broadcast_if_small(large.drop("n"))
-            for i in blocks:
-                again = dealt.where(F.col("block") == i).join(marks, ["block", "shard"])
-                todo.append((written(again.select("fp", F.col("shard").alias("path"))), held | masks[i]))
+            found = dealt.join(marks, ["block", "shard"])
+            members = written(found.select("fp", F.col("shard").alias("path"), F.col("block").alias("before")))
             dealt = dealt.join(marks, ["block", "shard"], "left_anti")
+        masks = {block: blocks[block] for block in again}
         shards = dealt.select("shard", "fp").repartition("shard").sortWithinPartitions("shard", "fp")
-        found = shards.mapInArrow(_forests(radius), "u long, v long")
-        links = found if links is None else links.unionByName(found)
+        forest = shards.mapInArrow(_forests(radius), "u long, v long")
+        links = forest if links is None else links.unionByName(forest)
     return written(links)
 
 
