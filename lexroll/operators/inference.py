@@ -43,22 +43,33 @@ def _ask(model: Model, prompt: str, accept, attempts: int, backoff: float) -> tu
 
 
 def _ask_batch(model: Model, prompts: list[str], accept, attempts: int, backoff: float):
-    """A whole batch first; rows it does not settle are asked one by one."""
-    try:
-        answers = model(prompts)
-        if len(answers) != len(prompts):
-            raise ValueError("one answer per prompt expected")
-    except Exception:
-        return [_ask(model, p, accept, attempts, backoff) for p in prompts]
+    """A whole batch first, again after a transient error; rows it does not settle are asked one by one."""
+    answers, wait, used = None, backoff, 0
+    for attempt in range(1, attempts + 1):
+        used = attempt
+        try:
+            answers = model(prompts)
+            if len(answers) != len(prompts):
+                raise ValueError("one answer per prompt expected")
+            break
+        except TransientModelError:
+            answers = None
+            if attempt < attempts:
+                time.sleep(wait)
+                wait *= 2
+        except Exception:  # a row of the batch may be at fault
+            return [_ask(model, p, accept, max(1, attempts - attempt + 1), backoff) for p in prompts]
+    if answers is None:
+        return [(None, "ERROR", used)] * len(prompts)
     settled = []
     for prompt, answer in zip(prompts, answers):
         if accept is None or accept(answer):
-            settled.append((answer, "OK", 1))
-        elif attempts > 1:
-            again, status, used = _ask(model, prompt, accept, attempts - 1, backoff)
-            settled.append((answer if again is None else again, status, used + 1))
+            settled.append((answer, "OK", used))
+        elif attempts > used:
+            again, status, more = _ask(model, prompt, accept, attempts - used, backoff)
+            settled.append((answer if again is None else again, status, used + more))
         else:
-            settled.append((answer, "INVALID", 1))
+            settled.append((answer, "INVALID", used))
     return settled
 
 

@@ -13,14 +13,13 @@ KEY_ROWS = 1_000_000  # more rows of one key than this are not numbered in one t
 def row_numbers(df: DataFrame, keys: list[str], order: list[str], out: str, bound: int = KEY_ROWS) -> DataFrame:
     """Number the rows of each key 1, 2, ... in ``order``, which must be unique per key.
 
-    If no key has more than ``bound`` rows, a window per key does it.  Otherwise the rows
-    are range-partitioned by key and order, so a hot key is spread over many partitions.
+    If there are keys and none has more than ``bound`` rows, a window per key does it.
+    Otherwise the rows are range-partitioned by key and order, so a hot key is spread over many partitions.
     Each partition numbers its own rows; a key that runs on from earlier partitions adds
     their counts.  Only one key can run on into a partition, so the table of those counts
     has at most one row per partition and is broadcast.
     """
-    most = df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    if (most or 0) <= bound:
+    if keys and (df.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0) <= bound:
         number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
         return df.withColumn(out, number.cast("long"))
     placed = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())

@@ -22,12 +22,6 @@ def paragraph_rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(id_col, F.posexplode(paragraphs_of(F.col(text_col))).alias("para_idx", "text"))
 
 
-def _places(paragraphs: Column, pattern: str) -> Column:
-    """Positions, from 0, of the paragraphs whose normalised text matches."""
-    marks = F.transform(paragraphs, lambda p, i: F.when(normalise(p).rlike(pattern), i))
-    return F.filter(marks, lambda i: i.isNotNull())
-
-
 def with_sections(df: DataFrame, paragraphs_col: str, rules: SectionRules = SectionRules()) -> DataFrame:
     """One row per section: ``section_no`` from 1, ``start`` position and ``paragraphs``.
 
@@ -35,16 +29,18 @@ def with_sections(df: DataFrame, paragraphs_col: str, rules: SectionRules = Sect
     the look-ahead, itself included; it runs to the next opening.  What comes before the
     first one is left out.
     """
-    anchors = _places(F.col(paragraphs_col), rules.flags + rules.anchor)
-    confirms = _places(F.col(paragraphs_col), rules.flags + rules.confirm)
-    marked = df.withColumn("_anchors", anchors).withColumn(
-        "_confirms", F.when(F.size("_anchors") > 0, confirms).otherwise(F.array().cast("array<int>"))
+    anchor, confirm = rules.flags + rules.anchor, rules.flags + rules.confirm
+    # Each line is normalised and marked once; an anchor then looks at the marks ahead of it only.
+    marked = df.withColumn("_lines", F.transform(paragraphs_col, normalise)).withColumn(
+        "_anchors", F.filter(F.transform("_lines", lambda p, i: F.when(p.rlike(anchor), i)), lambda i: i.isNotNull())
     )
+    marked = marked.withColumn(
+        "_confirms",
+        F.when(F.size("_anchors") > 0, F.transform("_lines", lambda p: p.rlike(confirm))).otherwise(F.array().cast("array<boolean>")),
+    )
+    ahead = F.lit(rules.lookahead + 1)
     opened = marked.withColumn(
-        "_starts",
-        F.filter(
-            "_anchors", lambda a: F.exists("_confirms", lambda c: (c >= a) & (c <= a + rules.lookahead))
-        ),
+        "_starts", F.filter("_anchors", lambda a: F.array_contains(F.slice("_confirms", a + 1, ahead), True))
     )
     ends = F.concat(F.slice("_starts", 2, F.greatest(F.size("_starts"), F.lit(1))), F.array(F.size(paragraphs_col)))
     sections = F.transform(
@@ -56,7 +52,7 @@ def with_sections(df: DataFrame, paragraphs_col: str, rules: SectionRules = Sect
         ),
     )
     rest = [c for c in df.columns if c != paragraphs_col]
-    return opened.withColumn("_ends", ends).select(*rest, F.inline(sections))
+    return opened.drop("_lines").withColumn("_ends", ends).select(*rest, F.inline(sections))
 
 
 def section_rows(sections: DataFrame, id_col: str) -> DataFrame:

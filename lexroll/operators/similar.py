@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +27,7 @@ class Sizes:
     sample: int = 4096  # library rows used to bound the search radius of a large library
 
 
+ROUNDING = 0.5 * 10.0**-SIM_DIGITS
 PAIR_SCHEMA = "id_a string, id_b string, sim double"
 
 
@@ -88,6 +88,19 @@ def _found(ids_a, ids_b, parts: list[tuple]) -> pa.Table:
     return _emit(ids_a[a] if len(a) else [], ids_b[b] if len(b) else [], sim)
 
 
+def _hits(sims: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places and values of the similarities that reach the threshold, rounded as everywhere."""
+    a, b = np.nonzero(sims >= threshold - ROUNDING)
+    sim = np.round(sims[a, b], SIM_DIGITS)
+    keep = sim >= threshold
+    return a[keep], b[keep], sim[keep]
+
+
+def _angle(threshold: float) -> float:
+    """The widest angle at which a rounded similarity reaches the threshold."""
+    return math.acos(max(-1.0, min(1.0, threshold - ROUNDING)))
+
+
 def _pair_kernel(threshold: float, strip: int):
     """Pairs of one table with itself: similar, one fresh, not both wholly of one owner."""
 
@@ -101,8 +114,7 @@ def _pair_kernel(threshold: float, strip: int):
             asked = new[at : at + strip]
             first = asked[0] if fresh.all() else 0  # earlier rows have met these already
             sims = units[asked] @ units[first:].T
-            a, b = np.nonzero(sims >= threshold)
-            sim = sims[a, b]
+            a, b, sim = _hits(sims, threshold)
             a, b = asked[a], b + first
             alike = (low[a] == high[a]) & (low[b] == high[b]) & (low[a] == low[b])
             keep = ((b > a) | ~fresh[b]) & ~alike
@@ -125,8 +137,7 @@ def _cross_kernel(threshold: float, strip: int):
         parts = []
         for start in range(0, len(ids_l), strip):
             sims = units_l[start : start + strip] @ units_r.T
-            a, b = np.nonzero(sims >= threshold)
-            sim = sims[a, b]
+            a, b, sim = _hits(sims, threshold)
             a = a + start
             # two fresh rows meet in both cells, or in both orders at home: one meeting counts
             once = ~fresh[b] | ahead[a] | (at_home[a] & (ids_l[a] < ids_r[b]))
@@ -169,7 +180,7 @@ def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Siz
     """
     parts = math.ceil(largest / sizes.tile)
     least, most = (int(min(sizes.max_pivots, max(2, n))) for n in (parts, 4 * parts))
-    angle = math.acos(max(-1.0, min(1.0, threshold)))
+    angle = _angle(threshold)
     pivots = pick_pivots(classes, "id", "vec", most, least, angle, sizes.sample)
     assigned, cells = build_cells(classes, "vec", pivots)
     reach = F.lit(angle)
@@ -310,15 +321,13 @@ def near_duplicate_links(
 
 
 def block_stats(df: DataFrame, block_cols: list[str], pairs: DataFrame, id_col: str) -> DataFrame:
-    """Rows and candidate pairs per block, blocks without pairs included."""
+    """Rows and candidate pairs per block, blocks without pairs included; without block columns, of all rows."""
     blocks = [c for c in block_cols if c in df.columns]
-    items = df.groupBy(blocks).agg(F.count("*").alias("n_items"))
-    owner = df.select(F.col(id_col).cast("string").alias("id_a"), *blocks)
-    found = pairs.select("id_a").join(owner, "id_a").groupBy(blocks).agg(F.count("*").alias("n_pairs"))
-    same = reduce(lambda x, y: x & y, [items[c].eqNullSafe(found[c]) for c in blocks])
-    return items.join(found, same, "left").select(
-        *[items[c] for c in blocks], "n_items", F.coalesce("n_pairs", F.lit(0)).alias("n_pairs")
-    )
+    items = df.groupBy(block_key(blocks).alias("_block"), *blocks).agg(F.count("*").alias("n_items"))
+    owner = df.select(F.col(id_col).cast("string").alias("id_a"), block_key(blocks).alias("_block"))
+    found = pairs.select("id_a").join(owner, "id_a").groupBy("_block").agg(F.count("*").alias("n_pairs"))
+    joined = items.join(found, "_block", "left").withColumn("n_pairs", F.coalesce("n_pairs", F.lit(0)))
+    return joined.select(*blocks, "n_items", "n_pairs")
 
 
 # --- against a library ------------------------------------------------------------------
@@ -358,12 +367,14 @@ def max_similarity(
     lib_vec: str,
     sizes: Sizes = Sizes(),
 ) -> DataFrame:
-    """``df`` with ``max_sim``, its largest cosine to the library (NULL without a library)."""
+    """``df`` with ``max_sim``, its largest cosine to the library, rounded to ``SIM_DIGITS``.
+
+    Zero vectors on either side count as cosine 0.  NULL without a library or a vector.
+    """
     library = library.where(F.col(lib_vec).isNotNull())
     small = _small_library(library, lib_id, lib_vec, sizes)
     if small is None:
-        best = nearest(df, library, 1, id_col, vec_col, lib_id, lib_vec, sizes=sizes)
-        return df.join(best.select(id_col, F.col("sim").alias("max_sim")), id_col, "left")
+        return _max_of_large(df, library, id_col, vec_col, lib_id, lib_vec, sizes)
     if not len(small[0]):
         return df.withColumn("max_sim", F.lit(None).cast("double"))
     shared = df.sparkSession.sparkContext.broadcast(small[1])
@@ -377,7 +388,7 @@ def max_similarity(
             units = unit(matrix(rows))
             best[present] = np.concatenate(
                 [
-                    (units[i : i + sizes.strip] @ shared.value.T).max(axis=1)
+                    np.round((units[i : i + sizes.strip] @ shared.value.T).max(axis=1), SIM_DIGITS)
                     for i in range(0, len(units), sizes.strip)
                 ]
             )
@@ -386,6 +397,30 @@ def max_similarity(
     return df.withColumn("max_sim", best_of(F.col(vec_col)))
 
 
+def _max_of_large(df, library, id_col, vec_col, lib_id, lib_vec, sizes) -> DataFrame:
+    """As for a small library: the nearest entry with a direction, or 0 where a zero vector takes part."""
+    directed = library.where(_has_direction(lib_vec))
+    some_zero = not library.where(~_has_direction(lib_vec)).isEmpty()
+    rows = df.where(_has_direction(vec_col)).select(id_col, F.col(vec_col).alias("vec"))
+    best = _nearest_of_large(rows, directed, 1, id_col, lib_id, lib_vec, None, sizes).select(
+        F.col("id.key").alias("_key"), F.col("id.digest").alias("_digest"), F.col("sim").alias("_best")
+    )
+    of_row = F.greatest("_best", F.lit(0.0)) if some_zero else F.col("_best")
+    same = F.col(id_col).eqNullSafe(F.col("_key")) & (_digest(F.col(vec_col)) == F.col("_digest"))
+    return df.join(best, same, "left").select(
+        *df.columns, F.when(F.col(vec_col).isNotNull(), F.coalesce(of_row, F.lit(0.0))).alias("max_sim")
+    )
+
+
+def _has_direction(column: str) -> Column:
+    return F.col(column).isNotNull() & F.exists(column, lambda x: x != 0)
+
+
+def _digest(vector: Column) -> Column:
+    """128 bits that stand for a vector."""
+    return F.struct(F.xxhash64(vector), F.xxhash64(F.lit(1), vector))
+
+
 def drop_boilerplate(
     df: DataFrame,
     library: DataFrame,
@@ -420,18 +455,20 @@ def nearest(
     """(id, ref_id, sim, rank): the k most similar library entries of each row.
 
     Ties go to the lower library id.  Zero vectors have no direction and no neighbours.
+    Every row is answered, also where rows share an id.
     ``threshold`` then drops weaker entries among the k.
     """
-    has_direction = lambda c: F.col(c).isNotNull() & F.exists(c, lambda x: x != 0)
-    rows = df.where(has_direction(vec_col)).select(id_col, F.col(vec_col).alias("vec"))
-    library = library.where(has_direction(lib_vec))
+    rows = df.where(_has_direction(vec_col)).select(id_col, F.col(vec_col).alias("vec"))
+    library = library.where(_has_direction(lib_vec))
     small = _small_library(library, lib_id, lib_vec, sizes)
-    found = (
-        _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, sizes)
-        if small is None
-        else _nearest_of_small(rows, small, k, library.schema[lib_id].dataType.simpleString(), sizes)
-    )
-    found = found.select(id_col, "ref_id", "sim", "rank")
+    if small is None:
+        found = _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, sizes)
+        found = found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("id.copies")))).select(
+            F.col("id.key").alias(id_col), "ref_id", "sim", "rank"
+        )
+    else:
+        kind = library.schema[lib_id].dataType.simpleString()
+        found = _nearest_of_small(rows, small, k, kind, sizes).select(id_col, "ref_id", "sim", "rank")
     return found if threshold is None else found.where(F.col("sim") >= threshold)
 
 
@@ -465,12 +502,18 @@ def _nearest_of_small(rows: DataFrame, small, k: int, id_type: str, sizes: Sizes
 
 def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, sizes) -> DataFrame:
     """Two rounds.  A bounded sample gives each row a radius that holds at least k entries;
-    then only the cells within that radius are searched, so the answer is exact."""
+    then only the cells within that radius are searched, so the answer is exact.
+
+    Rows of equal id and vector are searched once: ``id`` is (key, digest, copies)."""
+    rows = rows.groupBy(F.col(id_col).alias("key"), _digest(F.col("vec")).alias("digest")).agg(
+        F.first("vec").alias("vec"), F.count("*").alias("copies")
+    )
+    rows = rows.select(F.struct("key", "digest", "copies").alias("id"), "vec")
     lib = library.select(F.col(lib_id).alias("ref_id"), F.col(lib_vec).alias("vec"))
     sample = draw_vectors(lib, "ref_id", "vec", sizes.sample)
     assigned, cells = build_cells(lib, "vec", sample[: min(sizes.max_pivots, max(2, len(sample) // 16))])
     shared = rows.sparkSession.sparkContext.broadcast(sample)
-    ceiling = math.pi if threshold is None else math.acos(max(-1.0, min(1.0, threshold)))
+    ceiling = math.pi if threshold is None else _angle(threshold)
 
     @F.arrow_udf("double")
     def radius(vectors: pa.Array) -> pa.Array:
@@ -478,14 +521,12 @@ def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, size
         if sims.shape[1] < k:
             return pa.array(np.full(len(vectors), ceiling))
         kth = -np.partition(-sims, k - 1, axis=1)[:, k - 1]
-        return pa.array(np.minimum(ceiling, np.arccos(np.clip(kth, -1, 1))))
+        return pa.array(np.minimum(ceiling, np.arccos(np.clip(kth - 2 * ROUNDING, -1, 1))))
 
     seen = cut_lineage(rows.withColumn("reach", radius(F.col("vec"))))
-    routed = seen.withColumn("cell", F.explode(reachable(seen, F.col("vec"), F.col("reach"), cells))).select(
-        F.col(id_col).alias("id"), "vec", "cell"
-    )
+    routed = seen.withColumn("cell", F.explode(reachable(seen, F.col("vec"), F.col("reach"), cells))).select("id", "vec", "cell")
     kind = library.schema[lib_id].dataType.simpleString()
-    own = rows.schema[id_col].dataType.simpleString()
+    own = rows.schema["id"].dataType.simpleString()
 
     def kernel(left: pa.Table, right: pa.Table) -> pa.Table:
         if left.num_rows == 0 or right.num_rows == 0:
@@ -506,11 +547,7 @@ def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, size
         )
 
     # rows and library entries are salted by the same name
-    library_side = assigned.withColumn("id", F.col("ref_id"))
+    library_side = assigned.withColumn("id", F.struct("ref_id"))
     partial = tile_join(routed, library_side, ["cell"], "id", sizes.tile, kernel, f"id {own}, ref_id {kind}, sim double")
     best = Window.partitionBy("id").orderBy(F.desc("sim"), "ref_id")
-    return (
-        partial.withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= k)
-        .withColumnRenamed("id", id_col)
-    )
+    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

@@ -2,64 +2,34 @@
 
 from __future__ import annotations
 
-import io
 import uuid
-import zipfile
-from collections.abc import Iterator
-from xml.sax.saxutils import escape
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexroll.operators import reports
-from lexroll.operators.lineage import shared_folder
+from lexroll.operators.lineage import run_folder
 from lexroll.plans.catalog import query, table
 from lexroll.plans.registry_queries import LEVEL_PAGES, REGISTRY, registry
-from lexroll.plans.text_queries import LINES, documents
-from lexroll.sources import documents as office, sinks, tables
+from lexroll.sources import sinks, tables
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{uuid.uuid4().hex}/{name}"
+    return f"{run_folder(spark)}/{uuid.uuid4().hex}/{name}"
 
 
-@query()
-def doc_scan(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of the table folder; only the listing is read."""
-    return office.scan_documents(spark, folder, (".PARQUET",)).select("name", "length")
-
-
-def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts as office files, one paragraph per line."""
-    space = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
-    for frame in frames:
-        contents = []
-        for text in frame["text"]:
-            body = "".join(f'<w:p><w:r><w:t xml:space="preserve">{escape(line)}</w:t></w:r></w:p>' for line in text.split("\n"))
-            holder = io.BytesIO()
-            with zipfile.ZipFile(holder, "w", zipfile.ZIP_DEFLATED) as archive:
-                archive.writestr("word/document.xml", f'<w:document xmlns:w="{space}"><w:body>{body}</w:body></w:document>')
-            contents.append(holder.getvalue())
-        yield pd.DataFrame({"doc_id": frame["doc_id"], "content": contents})
-
-
-@query(f"WITH {LINES} SELECT doc_id, idx AS para_idx, line AS text FROM l")
-def docx_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
-    files = documents(spark, folder).mapInPandas(packed, "doc_id long, content binary")
-    read = office.office_paragraphs(files, "doc_id").where("status = 'OK'")
-    return read.select("doc_id", F.posexplode("paragraphs").alias("para_idx", "text")).withColumn(
-        "para_idx", F.col("para_idx").cast("long")
-    )
-
-
-@query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_mktsegment || ', Ltd' AS c_mktsegment FROM customer")
+@query(
+    """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name || CASE WHEN c_custkey % 3 = 0 THEN chr(10) || 'x' ELSE '' END AS c_name,
+  'a "' || c_mktsegment || '"; Ltd, b' AS c_mktsegment FROM customer"""
+)
 def read_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers written with a semicolon, read with nothing but the path."""
+    """Customers with quotes, separators and line breaks in their fields, read with nothing but the path."""
     path = fresh_path(spark, "customer.csv")
     rows = table(spark, folder, "customer").select(
-        "c_custkey", "c_name", F.concat("c_mktsegment", F.lit(", Ltd")).alias("c_mktsegment")
+        "c_custkey",
+        F.concat("c_name", F.when(F.col("c_custkey") % 3 == 0, "\nx").otherwise("")).alias("c_name"),
+        F.concat(F.lit('a "'), "c_mktsegment", F.lit('"; Ltd, b')).alias("c_mktsegment"),
     )
-    rows.write.csv(path, header=True, sep=";")
+    rows.write.csv(path, header=True, sep=";", escape='"', quoteAll=True)
     return tables.read_table(spark, path)
 
 

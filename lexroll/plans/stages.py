@@ -15,7 +15,7 @@ from lexroll.functions import answers, text
 from lexroll.operators import hierarchy, labels, reports, sections as cut, similar, stage
 from lexroll.operators.closure import group_pairs, write_back
 from lexroll.operators.inference import Encoder, Model, embed, infer
-from lexroll.operators.lineage import cut_lineage
+from lexroll.operators.lineage import broadcast_if_small, cut_lineage
 from lexroll.operators.ranks import row_numbers
 from lexroll.profile import (
     ATTEMPTS,
@@ -132,7 +132,8 @@ def place(
 
     ``taxonomy`` is (ord, name, description, activities).  The k nodes nearest to a text
     are put to the model; an answer that names no node is asked for again, up to
-    ``rounds`` times.  Rows without a node stay pending.
+    ``rounds`` times.  Rows without a node stay pending.  Rows that no nodes are near to,
+    since their text could not be encoded, get the error mark and are not asked.
     """
     todo, done = stage.split_pending(registry, "sphere_3", normalised=True)
     todo = todo.drop("sphere", "sphere_2", "sphere_3", "sphere_status")
@@ -141,9 +142,12 @@ def place(
     vectors = embed(todo, "function_text", encode)
     hits = similar.nearest(vectors, nodes, k, "row_ord", "embedding", "ord", "embedding")
     prompts = labels.candidate_prompts(hits, taxonomy.withColumnRenamed("ord", "ref_id"), "row_ord", template)
-    asked = vectors.drop("embedding").join(prompts, "row_ord", "left").withColumn(
-        "prompt", F.concat_ws("\n\n", "prompt", "function_text")
+    offered = vectors.drop("embedding").join(prompts, "row_ord", "left")
+    # A text that could not be encoded, or has no direction, has no nodes to choose from: it isn't asked.
+    unplaced = offered.where("prompt IS NULL").withColumns(
+        {"sphere": F.lit(rules.error), "how": F.lit("no nodes"), "status": F.lit("ERROR")}
     )
+    asked = offered.where("prompt IS NOT NULL").withColumn("prompt", F.concat_ws("\n\n", "prompt", "function_text"))
     settled = []
     for round_no in range(1, rounds + 1):
         answered = infer(asked, "prompt", model, attempts=ATTEMPTS)
@@ -155,8 +159,8 @@ def place(
             break
         settled.append(placed.where((F.col("how") != "invalid") | (F.col("status") != "OK")))
         asked = again.drop("sphere", "how", "status")
-    new = settled[0]
-    for part in settled[1:]:
+    new = unplaced
+    for part in settled:
         new = new.unionByName(part)
     new = new.withColumn("sphere_status", F.col("how")).drop("prompt", "how", "status")
     titles = labels.code_titles(registry.sparkSession) if titles is None else titles
@@ -186,7 +190,8 @@ def collide(
 
     ``known`` (id_a, id_b, verdict) are the pairs judged earlier.  With them, pending rows
     are compared with all rows of their blocks, and pairs in error are judged again; without
-    them everything is.  Groups are made of all real pairs.  ``universal`` is (text).
+    them everything is.  Groups are made of all real pairs.  ``universal`` is (text).  Rows whose
+    text could not be encoded stay pending: their group and verdict are NULL.
     """
     blocks = [c for c in block_cols if c in registry.columns]
     keyed = registry.withColumn("_block", similar.block_key(blocks)).withColumn("_fresh", F.lit(True))
@@ -225,7 +230,15 @@ def collide(
     judged = cut_lineage(judged)
     groups = group_pairs(judged.where("verdict = 'REAL'"))
     plain = registry.drop("collision_group", "collision_verdict")
-    return Collided(write_back(plain, groups, "row_ord"), judged)
+    failed = broadcast_if_small(vectors.where("embedding IS NULL").select(F.col("row_ord").alias("_failed")))
+    written = write_back(plain, groups, "row_ord").join(failed, F.col("row_ord") == F.col("_failed"), "left")
+    unknown = F.col("_failed").isNotNull() & (F.col("collision_verdict") == "FALSE")
+    for column in ("collision_group", "collision_verdict"):
+        written = written.withColumn(f"_{column}", F.when(~unknown, F.col(column)))
+    written = written.select(
+        *plain.columns, F.col("_collision_group").alias("collision_group"), F.col("_collision_verdict").alias("collision_verdict")
+    )
+    return Collided(written, judged)
 
 
 def report(registry: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:

@@ -104,9 +104,8 @@ def test_library_operators(spark, sizes):
     units = np.array([direction(r[1]) for r in library])
     best = {r[0]: float((units @ direction(r[1])).max()) for r in rows}
     kept = similar.drop_boilerplate(df, lib, "id", "vec", "ref", "ref_vec", 0.9, sizes)
-    if sizes == Sizes():
-        scored = similar.max_similarity(df, lib, "id", "vec", "ref", "ref_vec", sizes).collect()
-        assert len(scored) == len(rows) and all(abs(r["max_sim"] - best[r["id"]]) < 1e-9 for r in scored)
+    scored = similar.max_similarity(df, lib, "id", "vec", "ref", "ref_vec", sizes).collect()
+    assert len(scored) == len(rows) and all(abs(r["max_sim"] - best[r["id"]]) < 1e-9 for r in scored)
     assert {r["id"] for r in kept.collect()} == {i for i, s in best.items() if s < 0.9}
     hits = similar.nearest(df, lib, 4, "id", "vec", "ref", "ref_vec", sizes=sizes)
     found = {}
@@ -150,3 +149,36 @@ def test_block_stats(spark):
     expected = brute_pairs(rows, 0.9)
     for name in {None, "hot", "cold"}:
         assert stats[name] == (sum(b == name for b in block.values()), sum(block[a] == name for a, _ in expected))
+    whole = similar.block_stats(df, ["absent"], found, "id").collect()
+    assert [tuple(r) for r in whole] == [(len(rows), found.count())]
+
+
+SMALL_AND_LARGE = pytest.mark.parametrize("sizes", [Sizes(), Sizes(broadcast_cells=2, sample=8, tile=20, max_pivots=4)])
+
+
+@SMALL_AND_LARGE
+def test_one_meaning_of_zero_threshold_and_repeated_ids(spark, sizes):
+    edge = 0.75
+    near = [edge - 4e-10, (1 - (edge - 4e-10) ** 2) ** 0.5]  # rounds to the threshold
+    rows = [(1, [0.0, 0.0]), (2, [1.0, 0.1]), (3, near), (3, near), (3, [0.0, 1.0]), (4, [-1.0, -0.1]), (5, None), (None, [1.0, 0.1])]
+    df = spark.createDataFrame(rows, "id int, vec array<double>")
+    for zero in ([], [(9, [0.0, 0.0])]):
+        lib = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, -1.0]), *zero], "ref int, ref_vec array<double>")
+        got = similar.max_similarity(df, lib, "id", "vec", "ref", "ref_vec", sizes).collect()
+        first = round(1 / 1.01**0.5, 9)
+        low = 0.0 if zero else round(0.1 / 1.01**0.5, 9)
+        expected = [(1, 0.0), (2, first), (3, edge), (3, edge), (3, 0.0), (4, max(low, round(0.1 / 1.01**0.5, 9))), (5, None), (None, first)]
+        assert sorted(((r["id"], r["max_sim"]) for r in got), key=str) == sorted(expected, key=str)
+        kept = similar.drop_boilerplate(df, lib, "id", "vec", "ref", "ref_vec", edge, sizes).collect()
+        assert sorted((r["id"] for r in kept), key=str) == [1, 3, 4, 5]
+        hits = similar.nearest(df, lib, 2, "id", "vec", "ref", "ref_vec", sizes=sizes).collect()
+        assert sorted((r["id"] for r in hits), key=str) == sorted([2, 2, 3, 3, 3, 3, 3, 3, 4, 4, None, None], key=str)
+
+
+@SMALL_AND_LARGE
+def test_copies_reach_a_threshold_of_one(spark, sizes):
+    draw = np.random.default_rng(3)
+    rows = [(f"{i:03}{x}", v.tolist(), x) for i, v in enumerate(draw.normal(size=(60, 16))) for x in "ab"]
+    df = spark.createDataFrame(rows, "id string, vec array<double>, owner string")
+    found = similar.near_duplicate_pairs(df, "id", "vec", "owner", [], 1.0, sizes=sizes).collect()
+    assert sorted((r["id_a"], r["id_b"], r["sim"]) for r in found) == [(f"{i:03}a", f"{i:03}b", 1.0) for i in range(60)]
