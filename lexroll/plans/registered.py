@@ -7,6 +7,7 @@ from lexroll.plans import (  # noqa: F401
     stage_queries,
     text_queries,
     vector_queries,
+    whole_stage_queries,
 )
 from lexroll.plans.catalog import QUERIES, SQL
 

@@ -48,11 +48,11 @@ VECTORS = """v AS (
   SELECT vec_id, CAST(vec_id AS VARCHAR) AS id, vec_id % 7 AS owner, label, CAST(embedding AS DOUBLE[]) AS e
   FROM embeddings)"""
 PAIRS = f"""{VECTORS}, pairs AS (
-  SELECT a.id AS id_a, b.id AS id_b, a.label, list_cosine_similarity(a.e, b.e) AS sim
+  SELECT a.id AS id_a, b.id AS id_b, a.label, round(list_cosine_similarity(a.e, b.e), 9) AS sim
   FROM v a JOIN v b ON a.label = b.label AND a.id < b.id AND a.owner <> b.owner
-  WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD})"""
+  WHERE round(list_cosine_similarity(a.e, b.e), 9) >= {THRESHOLD})"""
 BEST = f"""{VECTORS}, best AS (
-  SELECT a.vec_id, max(list_cosine_similarity(a.e, l.e)) AS max_sim
+  SELECT a.vec_id, max(round(list_cosine_similarity(a.e, l.e), 9)) AS max_sim
   FROM v a, v l WHERE a.label <> {LIBRARY} AND l.label = {LIBRARY} GROUP BY a.vec_id)"""
 
 
@@ -74,10 +74,10 @@ GROUPS = f"""WITH RECURSIVE {PAIRS}, linked AS (
 @query(
     f"""WITH {VECTORS}, lib AS (SELECT * FROM v WHERE label = {LIBRARY}), kept AS (
   SELECT * FROM v a WHERE label <> {LIBRARY} AND NOT EXISTS (
-    SELECT 1 FROM lib l WHERE list_cosine_similarity(a.e, l.e) >= {THRESHOLD}))
+    SELECT 1 FROM lib l WHERE round(list_cosine_similarity(a.e, l.e), 9) >= {THRESHOLD}))
 SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.e, b.e), 6) AS sim
 FROM kept a JOIN kept b ON a.label = b.label AND a.id < b.id AND a.owner <> b.owner
-WHERE list_cosine_similarity(a.e, b.e) >= {THRESHOLD}"""
+WHERE round(list_cosine_similarity(a.e, b.e), 9) >= {THRESHOLD}"""
 )
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicates of different owners in a block, boilerplate left out first."""
@@ -103,6 +103,20 @@ def universal_filter(spark: SparkSession, folder: str) -> DataFrame:
     return drop_boilerplate(registry, library, "vec_id", "embedding", "vec_id", "embedding", THRESHOLD).select("vec_id")
 
 
+@query(f"WITH {BEST} SELECT vec_id FROM best WHERE max_sim < {THRESHOLD}")
+def universal_filter_cells(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by pivot cells, as for a library too large to send to every task."""
+    registry, library = split(spark, folder, LIBRARY)
+    return drop_boilerplate(registry, library, "vec_id", "embedding", "vec_id", "embedding", THRESHOLD, TIGHT).select("vec_id")
+
+
+@query(f"WITH {BEST} SELECT vec_id, round(max_sim, 6) AS max_sim FROM best")
+def max_similarity_cells(spark: SparkSession, folder: str) -> DataFrame:
+    registry, library = split(spark, folder, LIBRARY)
+    scored = largest_similarity(registry, library, "vec_id", "embedding", "vec_id", "embedding", TIGHT)
+    return scored.select("vec_id", F.round("max_sim", 6).alias("max_sim"))
+
+
 @query(f"WITH {BEST} SELECT vec_id, round(max_sim, 6) AS max_sim FROM best")
 def max_similarity(spark: SparkSession, folder: str) -> DataFrame:
     registry, library = split(spark, folder, LIBRARY)
@@ -147,9 +161,9 @@ def top_k_nodes_cells(spark: SparkSession, folder: str) -> DataFrame:
     return hits.withColumn("sim", F.round("sim", 6)).withColumn("rank", F.col("rank").cast("long"))
 
 
-def hints(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def hints(spark: SparkSession, folder: str, sizes: Sizes = Sizes()) -> tuple[DataFrame, DataFrame]:
     registry, examples = split(spark, folder, EXAMPLES)
-    hits = nearest(registry, examples, 3, "vec_id", "embedding", "vec_id", "embedding", THRESHOLD)
+    hits = nearest(registry, examples, 3, "vec_id", "embedding", "vec_id", "embedding", THRESHOLD, sizes)
     labelled = hits.withColumn("ref_label", F.concat(F.lit("type "), (F.col("ref_id") % 5).cast("string")))
     return registry, labelled
 
@@ -168,6 +182,15 @@ def nearest_labels(spark: SparkSession, folder: str) -> DataFrame:
     return labelled.select("vec_id", F.col("rank").cast("long").alias("rank"), "ref_id", "ref_label")
 
 
+@query(
+    f"""{HINTS} SELECT vec_id, rank, ref_id, 'type ' || (ref_id % 5) AS ref_label FROM ranked
+WHERE rank <= 3 AND sim >= {THRESHOLD}"""
+)
+def nearest_labels_cells(spark: SparkSession, folder: str) -> DataFrame:
+    _, labelled = hints(spark, folder, TIGHT)
+    return labelled.select("vec_id", F.col("rank").cast("long").alias("rank"), "ref_id", "ref_label")
+
+
 @query(
     f"""{HINTS} SELECT v.vec_id, 'Choose a type.' || CASE WHEN hints IS NULL THEN '' ELSE chr(10) || chr(10) ||
 'SIMILARITY ANALYSIS: Based on semantic proximity to verified examples, the most likely types are: ' || hints ||
@@ -269,7 +292,7 @@ DOCUMENT_THRESHOLD = 0.98
   SELECT *, CAST(doc_id AS VARCHAR) AS id FROM dense)
 SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.e, b.e), 6) AS sim
 FROM f a JOIN f b ON a.lang = b.lang AND a.source <> b.source AND a.id < b.id
-WHERE list_cosine_similarity(a.e, b.e) >= {DOCUMENT_THRESHOLD}"""
+WHERE round(list_cosine_similarity(a.e, b.e), 9) >= {DOCUMENT_THRESHOLD}"""
 )
 def document_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Whole documents, embedded and paired: same language, different sources."""
