@@ -77,42 +77,51 @@ def _climb(links: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     that reach a root, and the rest: nodes on a cycle or below one.  There ``peak`` is the
     least name among all that lie above.
     """
+    columns = ["name", "up", "path", "peak"]
     state = links.select("name", "up", F.col("abbreviation").alias("path"), F.col("up").alias("peak"))
+    finished, still = state.where("up IS NULL"), state.where("up IS NOT NULL")
     before = None
     while True:
-        found = state.where("up IS NOT NULL").agg(
+        found = still.agg(
             F.count("*").alias("open"),
             F.count_distinct("up").alias("ends"),
             F.sum(F.xxhash64("name", "peak").cast("decimal(38,0)")).alias("mark"),
         ).first()
         if found["open"] == 0:
-            return state.select("name", "path"), None
+            return finished.select("name", "path"), None
         if before == tuple(found):
-            open_nodes = state.where("up IS NOT NULL").select("name", F.col("up").alias("end"), "peak")
-            return state.where("up IS NULL").select("name", "path"), open_nodes
+            return finished.select("name", "path"), still.select("name", F.col("up").alias("end"), "peak")
         before = tuple(found)
-        above = state.select(
+        above = finished.unionByName(still).select(
             F.col("name").alias("up"), F.col("up").alias("next"), F.col("path").alias("head"), F.col("peak").alias("high")
         )
-        state = cut_lineage(
-            state.join(above, "up", "left").select(
+        # Only nodes on their way take part; every ``up`` is a node.
+        moved = cut_lineage(
+            still.join(above, "up").select(
                 "name",
                 F.col("next").alias("up"),
                 F.concat_ws("-", "head", "path").alias("path"),
                 F.least("peak", "high").alias("peak"),
             )
-        )
+        ).select(columns)
+        finished, still = finished.unionByName(moved.where("up IS NULL")), moved.where("up IS NOT NULL")
+
+
+def _look_up(rows: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+    """Left join; rows without a key take no part in the shuffle."""
+    asked = rows.where(F.col(key).isNotNull()).join(dim, key, "left")
+    return asked.unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
 
 
 def _parents(nodes: DataFrame) -> DataFrame:
-    """Nodes with ``up``: the parent's name where the parent is a node."""
-    known = nodes.select(F.col("name").alias("up"))
-    return nodes.join(known, F.trim("parent_name") == F.col("up"), "left")
+    """Nodes with ``up``: the parent's name where the parent is a node.  ``nodes`` should be cut from its lineage."""
+    known = nodes.select(F.col("name").alias("_asked"), F.col("name").alias("up"))
+    return _look_up(nodes.withColumn("_asked", F.trim("parent_name")), known, "_asked").drop("_asked")
 
 
 def find_cycles(nodes: DataFrame) -> DataFrame:
     """(name, cycle): bodies that are their own ancestors; ``cycle`` is the least of them."""
-    linked = cut_lineage(_parents(nodes).select("name", "up", F.lit(None).cast("string").alias("abbreviation")))
+    linked = cut_lineage(_parents(cut_lineage(nodes)).select("name", "up", F.lit(None).cast("string").alias("abbreviation")))
     _, rest = _climb(linked)
     if rest is None:
         return linked.select("name", F.col("name").alias("cycle")).where(F.lit(False))
@@ -128,6 +137,7 @@ def hierarchy_paths(nodes: DataFrame, rules: NameRules = NameRules()) -> DataFra
     with the parent's abbreviation, or the root's.  A cycle is cut above its least member,
     which then counts as a root.
     """
+    nodes = cut_lineage(nodes)
     linked = cut_lineage(_parents(nodes).select(*nodes.columns, "up"))
     paths, rest = _climb(linked.select("name", "up", "abbreviation"))
     if rest is not None:
@@ -138,12 +148,14 @@ def hierarchy_paths(nodes: DataFrame, rules: NameRules = NameRules()) -> DataFra
         paths, _ = _climb(linked.select("name", "up", "abbreviation"))
     root_mark = abbreviate(F.lit(rules.root), rules)
     above = linked.select(F.col("name").alias("up"), F.col("abbreviation").alias("_mark"))
-    labelled = linked.join(above, "up", "left").withColumn(
-        "executor", F.trim(F.concat_ws(" ", "full_name", F.coalesce("_mark", root_mark)))
+    labelled = cut_lineage(
+        _look_up(linked, above, "up").withColumn(
+            "executor", F.trim(F.concat_ws(" ", "full_name", F.coalesce("_mark", root_mark)))
+        )
     )
     parents = labelled.select(F.col("name").alias("up"), F.col("executor").alias("_parent_executor"))
     return (
-        labelled.join(parents, "up", "left")
+        _look_up(labelled, parents, "up")
         .join(paths.withColumnRenamed("path", "id_prefix"), "name")
         .select(
             *nodes.columns,
@@ -160,7 +172,7 @@ def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str], carry: l
     Bodies without items give no row.  ``order`` is unique within a body.  Columns named in
     ``carry`` are kept.
     """
-    numbered = row_numbers(items, ["name"], order, "item_no")
+    numbered = row_numbers(cut_lineage(items), ["name"], order, "item_no")
     body = nodes.select("name", "id_prefix", "abbreviation", "executor", "full_name", "parent_executor", "level")
     prefix = F.coalesce(F.when(F.col("id_prefix") != "", F.col("id_prefix")), F.col("abbreviation"))
     return numbered.join(body, "name").select(
