@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexroll.functions.text import strip
 from lexroll.operators.lineage import cut_lineage
+from lexroll.operators.skew import join_to_keys
 from lexroll.profile import ATTEMPTS, BACKOFF_SECONDS, EMBED_BATCH
 
 Model = Callable[[list[str]], list[str]]
@@ -85,12 +86,12 @@ def infer(
 ) -> DataFrame:
     """Add ``raw``, ``status`` and ``attempts``.
 
-    Equal prompts are asked once.  Transient errors wait, doubling; an answer that
+    Equal prompts are asked once, however many rows have them.  Transient errors wait, doubling; an answer that
     ``accept`` refuses is asked for again at once; any other error marks its row only.
     The answers are written down at once, so no later step asks the model again.
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(prompt_col, F.lit("")), 256))
-    asked = keyed.select("_key", F.coalesce(prompt_col, F.lit("")).alias("prompt")).distinct()
+    asked = keyed.groupBy("_key").agg(F.first(F.coalesce(prompt_col, F.lit(""))).alias("prompt"), F.count("*").alias("_rows"))
     if partitions:
         asked = asked.repartition(partitions, "_key")
 
@@ -100,12 +101,12 @@ def infer(
                 part = frame.iloc[at : at + batch]
                 said = _ask_batch(model, part["prompt"].tolist(), accept, attempts, backoff)
                 yield pd.DataFrame(
-                    {"_key": part["_key"].to_numpy(), "raw": [s[0] for s in said],
+                    {"_key": part["_key"].to_numpy(), "_rows": part["_rows"].to_numpy(), "raw": [s[0] for s in said],
                      "status": [s[1] for s in said], "attempts": [s[2] for s in said]}
                 )
 
-    answers = cut_lineage(asked.mapInPandas(run, "_key string, raw string, status string, attempts int"))
-    return keyed.join(answers, "_key").drop("_key")
+    answers = cut_lineage(asked.mapInPandas(run, "_key string, _rows long, raw string, status string, attempts int"))
+    return join_to_keys(keyed, answers, "_key", "_rows").drop("_key")
 
 
 def embed(
@@ -125,7 +126,7 @@ def embed(
     """
     text = F.coalesce(F.when(strip(F.col(text_col)) != "", F.col(text_col)), F.lit(" "))
     keyed = df.withColumn("_key", F.sha2(text, 256))
-    texts = keyed.select("_key", text.alias("text")).distinct()
+    texts = keyed.groupBy("_key").agg(F.first(text).alias("text"), F.count("*").alias("_rows"))
     if partitions:
         texts = texts.repartition(partitions, "_key")
 
@@ -148,11 +149,12 @@ def embed(
                 part = rows.slice(at, batch)
                 vectors = encoded(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_key"), pa.array(vectors, pa.list_(pa.float32()))], names=["_key", out]
+                    [part.column("_key"), part.column("_rows"), pa.array(vectors, pa.list_(pa.float32()))],
+                    names=["_key", "_rows", out],
                 )
 
-    vectors = cut_lineage(texts.mapInArrow(run, f"_key string, {out} array<float>"))
-    return keyed.join(vectors, "_key").drop("_key")
+    vectors = cut_lineage(texts.mapInArrow(run, f"_key string, _rows long, {out} array<float>"))
+    return join_to_keys(keyed, vectors, "_key", "_rows").drop("_key")
 
 
 class HashedWords:

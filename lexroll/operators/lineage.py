@@ -7,8 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-# A side is broadcast only when a count has shown it to be at most this long.
+# A side is broadcast only when a count has shown it to be at most this long and its texts and arrays this large.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 128 * 1024 * 1024
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,6 +55,22 @@ def rows_up_to(df: DataFrame, bound: int) -> int | None:
     return n if n <= bound else None
 
 
+def fits_broadcast(df: DataFrame, bound: int = BROADCAST_ROWS, most: int = BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has been counted to have few rows and few bytes."""
+    rows = rows_up_to(df, bound)
+    if rows is None:
+        return False
+    widths = [
+        F.coalesce(F.octet_length(c) if kind in ("string", "binary") else 8 * F.size(c), F.lit(0))
+        for c, kind in df.dtypes
+        if kind in ("string", "binary") or kind.startswith("array")
+    ]
+    if not widths:
+        return True
+    total = df.agg(F.sum(sum(widths[1:], widths[0]).cast("long"))).first()[0]
+    return (total or 0) <= most
+
+
 def broadcast_if_small(df: DataFrame, bound: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast after checking the size; beyond it, leave the join to Spark."""
-    return F.broadcast(df) if rows_up_to(df, bound) is not None else df
+    return F.broadcast(df) if fits_broadcast(df, bound) else df
