@@ -8,12 +8,10 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import DataType, _parse_datatype_string
 
-from lexroll.operators.lineage import BROADCAST_ROWS, rows_up_to
-
 # Rows of one Arrow batch: with whole texts in it, a batch of the default 10 000 could outgrow a Python worker.
 BATCH_ROWS = 512
 
@@ -53,28 +51,3 @@ def shared(kind: type, parts: Broadcast) -> Any:
     thing = object.__new__(kind)
     thing.__dict__ = parts.value
     return thing
-
-
-def join_to_keys(
-    rows: DataFrame, facts: DataFrame, key: str, size: str, hot_rows: int = 1_000_000
-) -> DataFrame:
-    """Left join ``rows`` to ``facts``, one row for each key, where a key may hold any share of ``rows``.
-
-    ``facts[size]`` is the number of rows of a key.  Keys of over ``hot_rows`` rows are few whatever the
-    input (rows / hot_rows at most); they are broadcast after a count, so their rows stay where they are.
-    Rows without a key stay too.  The other keys meet in a shuffle, no partition of which can hold a hot one.
-    """
-    small = rows_up_to(facts, BROADCAST_ROWS)
-    if small is not None:
-        return rows.join(F.broadcast(facts.drop(size)), key, "left")
-    hot = facts.where(F.col(size) > hot_rows).drop(size)
-    cold = facts.where(F.col(size) <= hot_rows).drop(size)
-    if rows_up_to(hot, BROADCAST_ROWS) is None:
-        raise ValueError("too many hot keys: raise hot_rows")
-    keys = F.broadcast(hot.select(key))
-    meet = rows.where(F.col(key).isNotNull())
-    return (
-        meet.join(keys, key, "left_anti").join(cold, key, "left")
-        .unionByName(meet.join(F.broadcast(hot), key))
-        .unionByName(rows.where(F.col(key).isNull()), allowMissingColumns=True)
-    )

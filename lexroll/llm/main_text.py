@@ -56,8 +56,8 @@ TAGS = {
 }
 WORDS_FOR = {"article": 1.5, "content": 1.0, "entry": 1.0, "main": 1.0, "post": 1.0, "story": 1.5, "body": 0.5, "text": 0.5}
 WORDS_AGAINST = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertisements", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs",
-    "comment", "comments", "commentlist", "consent", "cookie", "cookies", "copyright", "discussion", "disqus", "footer", "gdpr", "header",
+    "ad", "adbox", "ads", "adsense", "adslot", "adunit", "advert", "adverts", "advertisement", "advertisements", "advertising", "alert", "banner", "breadcrumb", "breadcrumbs",
+    "comment", "comments", "commentlist", "consent", "cookie", "cookiebar", "cookies", "copyright", "discussion", "disqus", "footer", "gdpr", "header",
     "login", "masthead", "menu", "menubar", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "notification",
     "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share",
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "tags", "toolbar", "topbar", "widget",

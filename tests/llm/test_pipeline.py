@@ -1,12 +1,10 @@
 import public_tokenizers
-import pytest
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from lexroll.llm import decontaminate, quality_classifier, quality_rules, simhash
 from tests.llm.test_pairs import brute_components, brute_contamination
-from tests.oracle import connect, spark_rows, sql_rows
 
 FOLDER = "/root/testdata/sf0.001"
 LLM = sorted(n for n in entry.queries() if n.startswith("op"))
@@ -16,11 +14,6 @@ def test_all_are_registered():
     assert {n.split("_")[0] for n in LLM} == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
 
 
-@pytest.mark.parametrize("name", [n for n in LLM if n in entry.oracle_sql()])
-def test_oracle(spark, name):
-    assert spark_rows(entry.queries()[name](spark, FOLDER)) == sql_rows(connect(FOLDER), entry.oracle_sql()[name])
-
-
 def test_stages_by_brute_force(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
