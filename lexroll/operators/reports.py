@@ -43,6 +43,10 @@ def portrait_share(df: DataFrame, column: str, totals: DataFrame | None = None)
     """(executor, column, n, share): rows per value and their percentage, to one decimal."""
     totals = portrait_totals(df) if totals is None else totals
     counts = df.where(_filled("executor")).groupBy("executor", _text(column).alias(column)).agg(F.count("*").alias("n"))
+    return _shares(counts, column, totals)
+
+
+def _shares(counts: DataFrame, column: str, totals: DataFrame) -> DataFrame:
     return counts.join(totals, "executor").select("executor", column, "n", percent(F.col("n"), F.col("total")).alias("share"))
 
 
@@ -162,12 +166,17 @@ def portrait_documents(df: DataFrame, rules: ReportRules = ReportRules()) -> Dat
     rows = df.where(_filled("executor"))
     executor = F.col("executor")
     doc = F.concat(F.lit("portrait_"), safe_name(executor), F.lit(".md"))
-    totals = portrait_totals(rows)
+    # One aggregate of the rows, from which totals and shares follow; Spark reuses its exchange.
+    counts = rows.groupBy("executor", _text("true_type").alias("true_type"), _text("sphere").alias("sphere")).agg(
+        F.count("*").alias("n"), F.count_if(in_collision()).alias("hits")
+    )
+    totals = counts.groupBy("executor").agg(F.sum("n").alias("total"), F.sum("hits").alias("collisions"))
 
     def table(part: int, column: str) -> DataFrame:
         share = F.format_string("%.1f%%", F.col("share"))
         line = F.concat(F.lit("| "), F.col(column), F.lit(" | "), F.col("n").cast("string"), F.lit(" | "), share, F.lit(" |"))
-        return _lines(portrait_share(rows, column, totals), doc, executor, part, F.array(line), F.col(column))
+        shares = _shares(counts.groupBy("executor", column).agg(F.sum("n").alias("n")), column, totals)
+        return _lines(shares, doc, executor, part, F.array(line), F.col(column))
 
     details = _details(rules, with_group=True)
     body = _array(
