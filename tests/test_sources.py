@@ -133,3 +133,38 @@ def test_arrivals_are_taken_once(spark, tmp_path):
         take_arrivals(spark, folder, out, log).awaitTermination()
         rows = sorted((r["doc_id"], tuple(r["items"]), r["status"]) for r in spark.read.parquet(out).collect())
         assert rows == [(n, ("a", "b"), "OK") for n in range(1, batch + 1)]
+
+
+def test_quoted_csv(spark, tmp_path):
+    path = tmp_path / "q.csv"
+    path.write_text('name;note\n"He said ""hi""; twice";2\n"two\nlines";3\nplain;"4"\n', encoding="utf-8")
+    rows = [tuple(r) for r in tables.read_table(spark, str(path)).collect()]
+    assert rows == [('He said "hi"; twice', "2"), ("two\nlines", "3"), ("plain", "4")]
+
+
+def test_json_arrays_and_broken_json(spark, tmp_path):
+    (tmp_path / "a.json").write_text('\n [{"function": "f", "TrueType": "t"},\n {"function": "g", "TrueType": "u"}]', encoding="utf-8")
+    found = tables.read_examples(spark, str(tmp_path / "a.json"))
+    assert sorted(tuple(r) for r in found.collect()) == [("f", "t"), ("g", "u")]
+    (tmp_path / "b.json").write_text('{"function": "f"}\n{"function": "g"}\n', encoding="utf-8")
+    assert tables.read_table(spark, str(tmp_path / "b.json")).count() == 2
+    (tmp_path / "c.json").write_text('{"function": \n oops', encoding="utf-8")
+    with pytest.raises(ValueError, match="Broken"):
+        tables.read_table(spark, str(tmp_path / "c.json"))
+
+
+def test_missing_files_give_nothing(spark, tmp_path):
+    assert tables.read_examples(spark, str(tmp_path / "no.json")).count() == 0
+    assert tables.load_library(spark, str(tmp_path / "no.json")).count() == 0
+    (tmp_path / "lib.json").write_text('{"a": [{"function": " x "}, {"b": {"function": "y"}}]}', encoding="utf-8")
+    assert sorted(r["text"] for r in tables.load_library(spark, str(tmp_path / "lib.json")).collect()) == ["x", "y"]
+
+
+def test_a_document_too_large_to_tell_is_refused(spark, monkeypatch):
+    broken = spark.createDataFrame([('{"function": "x"',)], "doc string")
+    assert tables.harvest(broken, "doc").count() == 0
+    monkeypatch.setattr(tables, "SURE_BYTES", 4)
+    with pytest.raises(Exception, match="too large"):
+        tables.harvest(broken, "doc").collect()
+    sound = spark.createDataFrame([('{"function": "x"}',)], "doc string")
+    assert [r["text"] for r in tables.harvest(sound, "doc").collect()] == ["x"]
