@@ -35,8 +35,8 @@ from lexroll.llm.common import per_text, share, shared, text_batches
 # (letters, digits and other characters, each with a blank before; white space), in the terms of ``re``.
 SPLIT = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 # Entries that a Python worker keeps of its words and transitions; both can be worked out again.
-KEPT_WORDS = 400_000
-KEPT_PAIRS = 500_000
+KEPT_WORDS = 100_000
+KEPT_PAIRS = 200_000
 LONG_WORD = 64
 START = -1
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")

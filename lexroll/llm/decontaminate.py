@@ -38,7 +38,7 @@ WINDOW = 10
 SHINGLE = 5
 # Words of the benchmark that one slice may hold: a bound on what is broadcast (about 100 bytes a word).
 SLICE_WORDS = 2_000_000
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 FOUND = "struct<n_words: bigint, spans: array<struct<at: bigint, end: bigint>>, items: array<string>>"

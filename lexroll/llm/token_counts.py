@@ -26,7 +26,7 @@ from lexroll.llm.common import per_text, share, shared, text_batches
 
 BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 LONG_WORD = 64
 
 
