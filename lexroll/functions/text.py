@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
-from lexroll.profile import REGEX_FLAGS, CleanRules, NameRules
+from lexroll.profile import NODE_WORDS, REGEX_FLAGS, TAXONOMY_WORDS, CleanRules, NameRules
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` worked out once, however often the body uses it."""
@@ -135,22 +135,18 @@ def without_code(label: Column) -> Column:
     return F.regexp_replace(label, r"(?U)^\d+\.?\s*", "")
 
 
+def _worded(words: tuple[str, ...], *values: Column) -> Column:
+    return F.concat(*[x for word, value in zip(words, values) for x in (F.lit(word), F.coalesce(value, F.lit("")))])
+
+
 def taxonomy_text(name: Column, description: Column, activities: Column) -> Column:
     """The text of a taxonomy node that is embedded."""
-    return F.concat(
-        F.lit("Сфера: "), F.coalesce(name, F.lit("")),
-        F.lit(". Описание: "), F.coalesce(description, F.lit("")),
-        F.lit(". Деятельность: "), F.coalesce(activities, F.lit("")),
-    )
+    return _worded(TAXONOMY_WORDS, name, description, activities)
 
 
 def node_block(name: Column, description: Column, activities: Column) -> Column:
     """One taxonomy node as it is shown to the model."""
-    return F.concat(
-        F.lit("Название сферы: "), F.coalesce(name, F.lit("")),
-        F.lit("\nОписание: "), F.coalesce(description, F.lit("")),
-        F.lit("\nВиды деятельности: "), F.coalesce(activities, F.lit("")),
-    )
+    return _worded(NODE_WORDS, name, description, activities)
 
 
 def percent(part: Column, total: Column) -> Column:
