@@ -30,7 +30,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-# Each repeated 5-word window covers its words; windows are compared as lists of words.
+# Each repeated 5-word window covers its words; words hold no blanks, so a window is its words joined by one.
 @query(
     r"""
     WITH given AS (
@@ -38,8 +38,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
         FROM documents
     ), all_rows AS (SELECT row_number() OVER () AS r, * FROM given),
-    places AS (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM all_rows WHERE len(words) > 5),
-    windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i:i + 4]) AS n FROM places),
+    places AS (
+        SELECT r, i, array_to_string(words[i:i + 4], ' ') AS win
+        FROM (SELECT r, words, unnest(range(1, len(words) - 3)) AS i FROM all_rows WHERE len(words) > 5)
+    ),
+    windows AS (SELECT r, i, count(*) OVER (PARTITION BY r, win) AS n FROM places),
     covered AS (
         SELECT r, count(DISTINCT i + k) AS n_repeat FROM windows, (SELECT unnest(range(5)) AS k) WHERE n > 1 GROUP BY r
     ), counted AS (
