@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexroll.operators.lineage import cut_lineage
 from lexroll.operators.ranks import row_numbers
+from lexroll.operators.skew import join_to_keys
 from lexroll.profile import GROUP_PREFIX, NO_COLLISION
 
 
@@ -43,7 +44,7 @@ def connected_groups(links: DataFrame, a: str = "id_a", b: str = "id_b") -> Data
     pairs = links.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v")
     edges = cut_lineage(pairs.mapInArrow(_forest, f"u {kind}, v {kind}").distinct())
     while not _only_stars(edges):
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        edges = cut_lineage(_small_star(cut_lineage(_large_star(edges))))
     members = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
     roots = edges.select(F.col("v").alias("id"), F.col("v").alias("root")).distinct()
     return members.unionByName(roots)
@@ -58,16 +59,23 @@ def _only_stars(edges: DataFrame) -> bool:
     return roles.where("ups > 1 OR (ups > 0 AND downs > 0)").isEmpty()
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """(u, m, n): the smallest neighbour of each id and how many links it has."""
+    return cut_lineage(links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = _least(both).select("u", F.least("u", "m").alias("m"), "n")
+    # A hub may have any share of the links.
+    near = join_to_keys(both.where("v > u"), least, "u", "n")
+    return near.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = _least(down)
+    moved = join_to_keys(down, least, "u", "n").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
