@@ -46,6 +46,21 @@ class Unigram:
         self.words: dict[str, int] = {}
 
     def count_word(self, word: str) -> int:
+        if not self.letters.issuperset(word):
+            return self._count_with_unknown(word)
+        best, count = [0.0] * (len(word) + 1), [0] * (len(word) + 1)
+        last = -1
+        # By ascending end, the longest piece first; it starts first, and only a better one takes its place.
+        for end, (size, own) in self.matches.iter(word):
+            start = end + 1 - size
+            score = best[start] + own
+            if end != last or score > best[end + 1]:
+                best[end + 1] = score
+                count[end + 1] = count[start] + 1
+                last = end
+        return count[-1]
+
+    def _count_with_unknown(self, word: str) -> int:
         ends: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for end, piece in self.matches.iter(word):
             ends[end + 1].append(piece)
