@@ -38,7 +38,6 @@ WINDOW = 10
 SHINGLE = 5
 # Words of the benchmark that one slice may hold: a bound on what is broadcast (about 100 bytes a word).
 SLICE_WORDS = 2_000_000
-KEPT_WORDS = 100_000
 
 WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 FOUND = "struct<n_words: bigint, spans: array<struct<at: bigint, end: bigint>>, items: array<string>>"
@@ -60,7 +59,6 @@ class Windows:
             self.names.append(None if name is None else str(name))
             for at in range(max(1, len(words) - window + 1) if words else 0):
                 places.setdefault(tuple(words[at : at + window]), set()).add(len(self.names) - 1)
-        self.hashes: dict[bytes, int] = {}
         self.windows = list(places)
         self.owners = [sorted(p) for p in places.values()]
         # shingle length -> sorted hashes of the shingles of windows
@@ -72,15 +70,9 @@ class Windows:
         self.filters = {length: _filter(known) for length, known in self.known.items()}
         self.prefixes: dict[int, dict[int, list[tuple[int, int]]]] = {}
 
-    def hashed(self, words: list[bytes]) -> np.ndarray:
-        known = self.hashes
-        new = set(words).difference(known)
-        if len(known) + len(new) > KEPT_WORDS:
-            known.clear()
-            new = set(words)
-        for word in new:
-            known[word] = xxhash.xxh64_intdigest(word)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    @staticmethod
+    def hashed(words: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(xxhash.xxh64_digest, words)), ">u8").astype(np.uint64)
 
     @staticmethod
     def rolled(words: np.ndarray, length: int) -> np.ndarray:
