@@ -18,7 +18,7 @@ component unless all its ids are null.  An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -214,7 +214,17 @@ def near_duplicates(
 def components(marked: DataFrame, radius: int = RADIUS, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Rows (doc_id, fp) with ``root``, a fingerprint that names their component, and ``component_id``."""
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
-    groups = connected_groups(radius_links(distinct, radius, shard_rows), "u", "v")
+    return _named(marked, distinct, radius_links(distinct, radius, shard_rows))
+
+
+def grouped(marked: DataFrame, links: DataFrame) -> DataFrame:
+    """The same for given links (u, v) between marks ``fp`` of any kind."""
+    distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
+    return _named(marked, distinct, links)
+
+
+def _named(marked: DataFrame, distinct: DataFrame, links: DataFrame) -> DataFrame:
+    groups = connected_groups(links, "u", "v")
     groups = groups.select(F.col("id").alias("fp"), "root")
     linked = written(distinct.join(groups, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     names = written(linked.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members")))
@@ -233,13 +243,19 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     text_batches(docs.sparkSession)
     marked = written(docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col)).alias("fp")))
-    found = components(marked, radius)
+    return one_of_each(docs, marked, components(marked, radius), fingerprints, id_col, text_col)
+
+
+def one_of_each(
+    docs: DataFrame, marked: DataFrame, found: DataFrame, marks: Callable[[Column], Column], id_col: str, text_col: str
+) -> DataFrame:
+    """``docs`` with one row of each component of ``found``; ``marks`` makes the ``fp`` of a text."""
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp")
     least = found.groupBy("root").agg(F.min(order).alias("first"))
     chosen = written(least.select(F.col("first.doc_id").alias("id"), F.col("first.fp").alias("fp")))
     again = marked.groupBy("doc_id", "fp").agg(F.count("*").alias("n")).where("n > 1")
     rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).alias("row_id"), fingerprints(F.col(text_col)).alias("row_fp")
+        F.struct("*").alias("row"), F.col(id_col).alias("row_id"), marks(F.col(text_col)).alias("row_fp")
     )
     kept = rows.join(chosen, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_fp") == F.col("fp")), "left_semi")
     if not again.isEmpty():
