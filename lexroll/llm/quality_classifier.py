@@ -2,11 +2,11 @@
 
 A document's worth is linear in features of its whole text.  A pair of a good and a bad labelled document
 says that the first is worth more; the weights minimise the logistic loss over differences of features.
-A quantile of the learnt scores, at the share of bad labels and midway between the scores on either side of it,
-is the threshold: score 0.5 lies there.
+A quantile of the scores of all labelled documents outside the held-out third, at the share of bad labels and
+midway between the scores on either side of it, is the threshold: score 0.5 lies there.
 
-Only the fit uses a sample: at most ``max_rows`` labelled documents outside the held-out third (those first
-in the order of a hash of the id) and ``pairs`` pairs of them.  Every document is scored.
+Only the fit of the weights uses a sample: at most ``max_rows`` labelled documents outside the held-out third
+(those first in the order of a hash of the id) and ``pairs`` pairs of them.  Every document is scored.
 
 Defined cases: a null text counts as empty and has a score like any other.  A document with several labels
 counts with the lowest; null labels are left out.  Without labels of both kinds all scores are 0.5.
@@ -23,6 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.llm.common import WORD, per_text, text_batches
+from lexroll.operators.lineage import broadcast_if_small, rows_up_to, written
+from lexroll.operators.ranks import row_numbers
 
 MAX_ROWS = 6_000
 PAIRS = 60_000
@@ -100,19 +102,32 @@ def learn_quality(
 ) -> Ranking:
     """The ranking learnt from the labelled documents outside the held-out third."""
     text_batches(docs.sparkSession)
-    known = (
+    labelled = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_good"))
-        .orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     )
-    chosen = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(F.broadcast(known), "_id")
+    known = labelled.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    chosen = texts.join(F.broadcast(known), "_id")
     rows = (
         chosen.select("_id", "_good", per_text(features, "array<double>")(F.col("_text")).alias("x"))
         .orderBy(F.xxhash64("_id"), "_id", "x").limit(max_rows).collect()
     )
     if not rows:
         return Ranking((), 0.0)
-    return fit_pairs(np.array([r["x"] for r in rows]), np.array([r["_good"] for r in rows]), pairs)
+    ranking = fit_pairs(np.array([r["x"] for r in rows]), np.array([r["_good"] for r in rows]), pairs)
+    if not ranking.weights or len(rows) < max_rows and rows_up_to(labelled, max_rows) is not None:  # all were fitted
+        return ranking
+    worth = per_text(lambda text: float(np.dot(ranking.weights, features(text))), "double")
+    scored = written(texts.join(broadcast_if_small(written(labelled)), "_id").select("_good", worth(F.col("_text")).alias("worth")))
+    return Ranking(ranking.weights, _threshold(scored))
+
+
+def _threshold(scored: DataFrame) -> float:
+    """Midway between the scores on either side of the share of bad labels, from all rows (_good, worth)."""
+    bad = scored.where("_good <> 1").count()
+    ranked = row_numbers(scored.select("worth"), [], ["worth"], "n")
+    return ranked.where(F.col("n").between(bad, bad + 1)).agg(F.avg("worth")).first()[0]
 
 
 def held_out(id_column: Column) -> Column:
