@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm import bpe, decontaminate, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
+from lexroll.llm import bpe, decontaminate, divergence, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
 from lexroll.llm.common import per_text
 from lexroll.operators.lineage import written
 
@@ -248,3 +248,44 @@ def op3_transcripts(spark: SparkSession, folder: str) -> DataFrame:
         "conv_id", "piece", "part", "r.*", F.size("found").cast("long").alias("n_turns"), roles.alias("roles"),
         transcripts.rendered(F.col("found")).alias("rendered"),
     )
+
+
+# Counts, shares and differences as they are defined; every pair of groups over every kept term.
+@query(
+    r"""
+    WITH given AS (
+        SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+        FROM documents
+    ), found AS (
+        SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+                                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+        FROM given
+    ), kept AS (
+        SELECT lang, term, count(*) AS all_n FROM found GROUP BY lang, term HAVING count(DISTINCT r) >= 10
+    ), counts AS (SELECT lang, source, term, count(*) AS n FROM found JOIN kept USING (lang, term) GROUP BY lang, source, term),
+    langs AS (SELECT lang, count(*) AS v, sum(all_n) AS lang_n FROM kept GROUP BY lang),
+    sizes AS (SELECT lang, source, sum(n) AS group_n FROM counts GROUP BY lang, source),
+    groups AS (SELECT DISTINCT lang, source FROM given),
+    shares AS (
+        SELECT lang, source, term, coalesce(n, 0) AS n,
+               1 + (1000000000 * (coalesce(n, 0) + 2)::HUGEINT) // (coalesce(group_n, 0) + 2 * v)::HUGEINT AS p,
+               1 + (1000000000 * (all_n + 2)::HUGEINT) // (lang_n + 2 * v)::HUGEINT AS q
+        FROM groups JOIN kept USING (lang) JOIN langs USING (lang) LEFT JOIN counts USING (lang, source, term)
+             LEFT JOIN sizes USING (lang, source)
+    ), sums AS (
+        SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+        FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+    ), items AS (
+        SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+             LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::BIGINT FROM shares WHERE n > 0 AND p > q
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM items
+    )
+    SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 10
+    """
+)
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.divergence(table(spark, folder, "documents"))
