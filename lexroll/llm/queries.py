@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm import bpe, decontaminate, divergence, licences, main_text, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
+from lexroll.llm import bpe, decontaminate, divergence, licences, main_text, packing, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
 from lexroll.llm.common import per_text
 from lexroll.operators.lineage import written
 
@@ -289,3 +289,9 @@ def op3_transcripts(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.divergence(table(spark, folder, "documents"))
+
+
+@query()
+def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
+    encoder = packing.load(spark, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(table(spark, folder, "documents"), encoder)
