@@ -16,6 +16,8 @@ from pyspark.sql.types import DataType, _parse_datatype_string
 BATCH_ROWS = 512
 
 WORD = re.compile("[^ \t-\r]+")
+# Runs of marks, digits and Latin letters that Python and the tokenizers' libraries class and fold alike.
+PLAIN = re.compile("[!-~¡«»¿À-ÖØ-öø-įı-ɏ‘’“”–—…]*")
 
 
 def text_batches(spark: SparkSession) -> None:

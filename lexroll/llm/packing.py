@@ -35,7 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lexroll.llm.bpe import byte_letters
-from lexroll.llm.common import per_text, share, shared, text_batches
+from lexroll.llm.common import PLAIN, per_text, share, shared, text_batches
 
 WINDOW = 4096
 END_ID = 2
@@ -49,8 +49,6 @@ LONG_RUN = 64
 
 # Fixed: how the vocabulary's library splits folded text.
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-# Marks, digits and Latin letters that Python and the library class and fold alike.
-PLAIN = re.compile("[!-~¡«»¿À-ÖØ-öø-įı-ɏ‘’“”–—…]*")
 
 
 class WordEncoder:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm import bpe, decontaminate, divergence, licences, main_text, packing, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
+from lexroll.llm import alignment, bpe, decontaminate, divergence, licences, main_text, packing, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
 from lexroll.llm.common import per_text
 from lexroll.operators.lineage import written
 
@@ -295,3 +295,10 @@ def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
 def op11_packing(spark: SparkSession, folder: str) -> DataFrame:
     encoder = packing.load(spark, public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(table(spark, folder, "documents"), encoder)
+
+
+@query()
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    files = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    docs = table(spark, folder, "documents")
+    return alignment.alignment(docs, alignment.load(spark, *files)).withColumn("doc_id", F.col("doc_id").cast("long"))
