@@ -81,13 +81,46 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def group_pairs(links: DataFrame, a: str = "id_a", b: str = "id_b", prefix: str = GROUP_PREFIX) -> DataFrame:
     """(id, group_id): groups numbered from 1 in the order of their smallest id."""
-    members = connected_groups(links, a, b)
-    numbered = row_numbers(members.select("root").distinct(), [], ["root"], "n")
-    return members.join(numbered, "root").select(
+    members = cut_lineage(connected_groups(links, a, b))
+    sizes = members.groupBy("root").agg(F.count("*").alias("size"))
+    numbered = cut_lineage(row_numbers(sizes, [], ["root"], "n"))
+    return join_to_keys(members, numbered, "root", "size").select(
         "id", F.concat(F.lit(prefix), F.col("n").cast("string")).alias("group_id")
     )
 
 
+def grow_groups(groups: DataFrame, links: DataFrame, a: str = "id_a", b: str = "id_b") -> DataFrame:
+    """(id, number): ``groups``, of these columns, with new links taken in; old links are not needed.
+
+    A group that is touched enters as one contracted node, so only the new links and the groups at their ends are
+    closed.  Old groups keep their numbers; those that grow together keep the least; groups of new ids only get the
+    numbers after the largest so far, in the order of their smallest id.  Numbers of vanished groups aren't
+    given again.
+    """
+    pairs = cut_lineage(links.select(F.col(a).cast("string").alias("a"), F.col(b).cast("string").alias("b")).where("a <> b"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("uses"))
+    # A group's name comes before any id and in the order of its number.
+    named = F.coalesce(F.concat(F.lit("0:"), F.lpad(F.col("number").cast("string"), 20, "0")), F.concat(F.lit("1:"), "id"))
+    nodes = cut_lineage(ends.join(groups, "id", "left").select("id", "uses", "number", named.alias("node")))
+    facts = nodes.select("id", "node", "uses")
+    for side in ("a", "b"):
+        pairs = join_to_keys(pairs, facts.withColumnsRenamed({"id": side, "node": f"node_{side}"}), side, "uses")
+    roots = cut_lineage(connected_groups(pairs.select("node_a", "node_b"), "node_a", "node_b"))
+    is_old = lambda c: F.col(c).startswith("0:")
+    number_of = lambda c: F.substring(c, 3, 20).cast("long")
+    # Old groups that have grown into an older one: as many as new links at most.
+    moved = roots.where(is_old("id") & (F.col("id") != F.col("root"))).select(number_of("id").alias("number"), number_of("root").alias("into"))
+    sizes = groups.groupBy("number").agg(F.count("*").alias("size")).join(cut_lineage(moved), "number")
+    kept = join_to_keys(groups, cut_lineage(sizes), "number", "size").select("id", F.coalesce("into", "number").alias("number"))
+    last = groups.agg(F.max("number")).first()[0] or 0
+    fresh = nodes.where("number IS NULL").select("id", F.col("node").alias("_node"))
+    of_new = cut_lineage(fresh.join(roots, fresh["_node"] == roots["id"]).select(fresh["id"], "root"))
+    counts = of_new.groupBy("root").agg(F.count("*").alias("size"))
+    numbers = row_numbers(cut_lineage(counts.where(~is_old("root"))), [], ["root"], "n").select("root", "size", (F.col("n") + last).alias("number"))
+    numbers = cut_lineage(numbers.unionByName(counts.where(is_old("root")).withColumn("number", number_of("root"))))
+    return kept.unionByName(join_to_keys(of_new, numbers, "root", "size").select("id", "number"))
+
+
 def write_back(df: DataFrame, groups: DataFrame, id_col: str) -> DataFrame:
     """``df`` with ``collision_group`` and ``collision_verdict``; rows in no group get the
     constants, also when there is no group at all."""

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.functions.text import abbreviate, level_of
 from lexroll.operators.lineage import cut_lineage
-from lexroll.operators.ranks import row_numbers
+from lexroll.operators.ranks import go_on_numbering, row_numbers
+from lexroll.operators.skew import join_to_keys
 from lexroll.profile import NameRules
 
 
@@ -166,16 +167,21 @@ def hierarchy_paths(nodes: DataFrame, rules: NameRules = NameRules()) -> DataFra
     )
 
 
-def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str], carry: list[str] = []) -> DataFrame:
+def registry_rows(
+    nodes: DataFrame, items: DataFrame, order: list[str], carry: list[str] = [], numbered: bool = False
+) -> DataFrame:
     """Registry of (name, order…, item): ids ``prefix-1``, ``prefix-2``, … per body.
 
     Bodies without items give no row.  ``order`` is unique within a body.  Columns named in
-    ``carry`` are kept.
+    ``carry`` are kept.  ``numbered`` items bring their ``item_no``, as ``arriving_rows`` gives it.
     """
-    numbered = row_numbers(cut_lineage(items), ["name"], order, "item_no")
-    body = nodes.select("name", "id_prefix", "abbreviation", "executor", "full_name", "parent_executor", "level")
+    items = cut_lineage(items)
+    counted = items if numbered else row_numbers(items, ["name"], order, "item_no")
+    sizes = items.groupBy("name").agg(F.count("*").alias("_items"))
+    body = nodes.select("name", "id_prefix", "abbreviation", "executor", "full_name", "parent_executor", "level").join(sizes, "name")
     prefix = F.coalesce(F.when(F.col("id_prefix") != "", F.col("id_prefix")), F.col("abbreviation"))
-    return numbered.join(body, "name").select(
+    known = F.col("abbreviation").isNotNull()
+    return join_to_keys(counted, cut_lineage(body), "name", "_items").where(known).select(
         F.concat_ws("-", prefix, F.col("item_no").cast("string")).alias("function_id"),
         F.col("item").alias("function_text"),
         F.coalesce("executor", "full_name").alias("executor"),
@@ -185,3 +191,16 @@ def registry_rows(nodes: DataFrame, items: DataFrame, order: list[str], carry: l
         "item_no",
         *carry,
     )
+
+
+def number_marks(registry: DataFrame) -> DataFrame:
+    """(name, last): the last number that each body has given."""
+    return registry.groupBy(F.col("node_name").alias("name")).agg(F.max("item_no").alias("last"))
+
+
+def arriving_rows(
+    nodes: DataFrame, items: DataFrame, marks: DataFrame, order: list[str], carry: list[str] = []
+) -> tuple[DataFrame, DataFrame]:
+    """Registry rows of items that arrive later, numbered on from their bodies' marks, and the marks after them."""
+    numbered, after = go_on_numbering(items, marks, "name", order, "item_no")
+    return registry_rows(nodes, numbered, order, carry, numbered=True), after

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexroll.operators.lineage import cut_lineage
-
+from lexroll.operators.skew import join_to_keys
 
 KEY_ROWS = 1_000_000  # more rows of one key than this are not numbered in one task
 
@@ -43,3 +43,35 @@ def row_numbers(df: DataFrame, keys: list[str], order: list[str], out: str, boun
         .join(F.broadcast(carried), match, "left")
         .select(*df.columns, (F.col("_local") + F.coalesce("_before", F.lit(0))).cast("long").alias(out))
     )
+
+
+def go_on_numbering(
+    new: DataFrame, marks: DataFrame, key: str, order: list[str], out: str, bound: int = KEY_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """``new`` rows numbered from where their key's mark (key, last) stands, and the marks after them.
+
+    Rows numbered before are not read.  Keys without a mark begin at 1, and marks of keys without new rows stay.
+    """
+    numbered = cut_lineage(row_numbers(new, [key], order, "_own", bound))
+    counts = numbered.groupBy(key).agg(F.count("*").alias("_new"))
+    after = counts.join(marks, key, "full").select(
+        key, "_new", F.coalesce("last", F.lit(0)).cast("long").alias("_from"),
+        (F.coalesce("last", F.lit(0)) + F.coalesce("_new", F.lit(0))).cast("long").alias("last"),
+    )
+    after = cut_lineage(after)
+    begun = join_to_keys(numbered, after.where("_new IS NOT NULL").select(key, "_new", "_from"), key, "_new")
+    begun = begun.select(*new.columns, (F.coalesce("_from", F.lit(0)) + F.col("_own")).alias(out))
+    return begun, after.select(key, "last")
+
+
+def running_totals(df: DataFrame, order: str, value: str, out: str) -> DataFrame:
+    """Sums of ``value`` up to each row in ``order``, whose values must be distinct; no task sees all rows."""
+    placed = cut_lineage(df.repartitionByRange(order).withColumn("_part", F.spark_partition_id()))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # of one row per partition
+    carried = placed.groupBy("_part").agg(F.sum(value).alias("_sum")).withColumn("_before", F.sum("_sum").over(earlier))
+    inside = Window.partitionBy("_part").orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        placed.withColumn("_local", F.sum(value).over(inside))
+        .join(F.broadcast(carried.select("_part", "_before")), "_part")
+        .select(*df.columns, (F.col("_local") + F.coalesce("_before", F.lit(0))).alias(out))
+    )

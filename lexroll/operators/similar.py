@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F, Window
 from lexroll.functions.vectors import SIM_DIGITS, matrix, unit
 from lexroll.operators.cells import build_cells, draw_vectors, pick_pivots, reachable, tile_join
 from lexroll.operators.lineage import broadcast_if_small, cut_lineage, rows_up_to
+from lexroll.operators.skew import join_to_keys
 from lexroll.profile import BOILERPLATE_THRESHOLD, PAIR_THRESHOLD
 
 
@@ -45,7 +46,9 @@ def block_key(columns: list[str]) -> Column:
     )
 
 
-def _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ, fresh_col=None) -> DataFrame:
+def _items(
+    df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ, fresh_col=None, copy_col=None
+) -> DataFrame:
     """Rows that take part in pairing: block, id, owner, vector and freshness, nothing else."""
     blocks = [c for c in block_cols if c in df.columns]
     if exclude is not None:
@@ -60,6 +63,7 @@ def _items(df, id_col, vec_col, owner_col, block_cols, exclude, null_owners_diff
         owner.alias("owner"),
         F.col(vec_col).alias("vec"),
         (F.lit(True) if fresh_col is None else F.col(fresh_col)).alias("fresh"),
+        *([] if copy_col is None else [F.col(copy_col).alias("copy")]),
     ).where(F.col("owner").isNotNull() & F.col("vec").isNotNull())
 
 
@@ -210,14 +214,19 @@ def similar_classes(items: DataFrame, large: DataFrame, largest: int, threshold:
     classes = cut_lineage(
         held.groupBy("block", "digest").agg(
             F.min("id").alias("id"),
+            F.count("*").alias("rows"),
             F.min("owner").alias("low"),
             F.max("owner").alias("high"),
             F.max("fresh").alias("fresh"),
             F.first("vec").alias("vec"),
         )
     )
-    edges = _pair_classes(classes.drop("digest"), largest, threshold, sizes, partly)
-    members = held.join(classes.select("block", "digest", F.col("id").alias("class")), ["block", "digest"])
+    edges = _pair_classes(classes.drop("digest", "rows"), largest, threshold, sizes, partly)
+    # A class may have any share of the rows.
+    key = F.struct("block", "digest").alias("_key")
+    members = join_to_keys(
+        held.select(key, "id", "owner", "fresh"), classes.select(key, "rows", F.col("id").alias("class")), "_key", "rows"
+    )
     return classes, edges, members.select("class", "id", "owner", "fresh")
 
 
@@ -320,6 +329,75 @@ def near_duplicate_links(
     )
 
 
+@dataclass(frozen=True)
+class Classes:
+    """``pairs`` (id_a, id_b, class_a, class_b, rows_a, rows_b, sim) of representatives, and ``members`` (class, id)."""
+
+    pairs: DataFrame
+    members: DataFrame
+
+
+def near_duplicate_classes(
+    df: DataFrame,
+    id_col: str,
+    vec_col: str,
+    owner_col: str,
+    copy_col: str,
+    block_cols: list[str],
+    threshold: float = PAIR_THRESHOLD,
+    exclude: tuple[str, str] | None = None,
+    null_owners_differ: bool = False,
+    sizes: Sizes = Sizes(),
+) -> Classes:
+    """Near-duplicate pairs with copies taken together.
+
+    Rows of one block with equal ``copy_col`` are a class, named by its smallest id; they must have equal vectors.
+    Two classes make one pair, whatever their sizes, if they are similar and two owners are among them; a class with
+    two owners makes a pair with itself.  ``id_a < id_b`` are rows of different owners that stand for the classes:
+    of each class the first of its least and the last of its greatest owner may do so.
+    """
+    items = _items(df.where(F.col(copy_col).isNotNull()).withColumn("_copy", F.sha2(F.col(copy_col).cast("string"), 256)),
+                   id_col, vec_col, owner_col, block_cols, exclude, null_owners_differ, copy_col="_copy")
+    stand = F.struct("owner", "id")
+    classes = cut_lineage(
+        items.groupBy("block", "copy").agg(
+            F.min("id").alias("id"), F.min(stand).alias("least"), F.max(stand).alias("greatest"),
+            F.count("*").alias("rows"), F.first("vec").alias("vec"),
+        ).select("block", "copy", "id", "rows", "vec", F.col("least.owner").alias("low"), F.col("greatest.owner").alias("high"),
+                 F.col("least.id").alias("low_id"), F.col("greatest.id").alias("high_id"), F.lit(True).alias("fresh"))
+    )
+    points = classes.select("block", "id", "low", "high", "vec", "fresh")
+    blocks = _by_size(points, points, sizes.tile)
+    pairs = blocks.small.groupBy("block").applyInArrow(_pair_kernel(threshold, sizes.strip), PAIR_SCHEMA)
+    if blocks.large is not None:
+        held = cut_lineage(points.join(broadcast_if_small(blocks.large), "block", "left_semi"))
+        pairs = pairs.unionByName(_pair_classes(held, blocks.largest, threshold, sizes, False))
+    alone = F.when(F.forall("vec", lambda x: x == 0), 0.0).otherwise(1.0)
+    within = classes.where("low <> high").select(F.col("id").alias("id_a"), F.col("id").alias("id_b"), alone.alias("sim"))
+    pairs = cut_lineage(pairs.unionByName(within.where(F.col("sim") >= threshold)))
+    uses = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).groupBy("id").agg(F.count("*").alias("uses"))
+    facts = cut_lineage(classes.join(uses, "id").select("id", "uses", "rows", "low", "high", "low_id", "high_id"))
+    for side in ("a", "b"):
+        own = facts.withColumnsRenamed({c: f"{c}_{side}" for c in facts.columns if c != "uses"})
+        pairs = join_to_keys(pairs, own, f"id_{side}", "uses")
+    # Not both wholly of one owner, so one of these has two.
+    chosen = (
+        F.when(F.col("id_a") == F.col("id_b"), F.array("low_id_a", "high_id_a"))
+        .when(F.col("low_a") != F.col("low_b"), F.array("low_id_a", "low_id_b"))
+        .when(F.col("low_a") != F.col("high_b"), F.array("low_id_a", "high_id_b"))
+        .otherwise(F.array("high_id_a", "low_id_b"))
+    )
+    shown = pairs.select(
+        F.array_min(chosen).alias("id_a"), F.array_max(chosen).alias("id_b"), F.col("id_a").alias("class_a"),
+        F.col("id_b").alias("class_b"), "rows_a", "rows_b", "sim",
+    )
+    members = join_to_keys(
+        items.select(F.xxhash64("block", "copy").alias("_class"), "id"),
+        cut_lineage(classes.select(F.xxhash64("block", "copy").alias("_class"), F.col("id").alias("class"), "rows")), "_class", "rows",
+    )
+    return Classes(shown, members.select("class", "id"))
+
+
 def block_stats(df: DataFrame, block_cols: list[str], pairs: DataFrame, id_col: str) -> DataFrame:
     """Rows and candidate pairs per block, blocks without pairs included; without block columns, of all rows."""
     blocks = [c for c in block_cols if c in df.columns]

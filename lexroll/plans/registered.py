@@ -1,6 +1,7 @@
 """All registered queries."""
 
 from lexroll.plans import (  # noqa: F401
+    growing_queries,
     model_queries,
     registry_queries,
     source_queries,

@@ -173,6 +173,36 @@ class Collided:
     pairs: DataFrame
 
 
+def _judged(pairs: DataFrame, registry: DataFrame, model: Model, template: str) -> DataFrame:
+    """``pairs`` (id_a, id_b, …) with the model's ``verdict``."""
+    given = lambda c: F.col(c) if c in registry.columns else F.lit(None)
+    shown = registry.select(
+        "row_ord",
+        "function_id",
+        "executor",
+        given("true_type").alias("type"),
+        given("sphere").alias("sphere"),
+        F.col("function_text").alias("text"),
+    )
+    asked = labels.pair_prompts(pairs, shown, "row_ord", template, "function_id")
+    accept = lambda a: a is not None and any(v in a.upper() for v in ("REAL", "FALSE"))
+    answered = infer(asked, "prompt", model, accept).select("id_a", "id_b", answers.pair_verdict(F.col("raw")).alias("verdict"))
+    more = [c for c in pairs.columns if c not in ("id_a", "id_b")]
+    return answered.join(pairs, ["id_a", "id_b"]) if more else answered
+
+
+def _with_groups(plain: DataFrame, vectors: DataFrame, groups: DataFrame) -> DataFrame:
+    """The registry with groups and verdicts; both NULL for rows that could not be encoded and are in no group."""
+    failed = broadcast_if_small(vectors.where("embedding IS NULL").select(F.col("row_ord").alias("_failed")))
+    written = write_back(plain, groups, "row_ord").join(failed, F.col("row_ord") == F.col("_failed"), "left")
+    unknown = F.col("_failed").isNotNull() & (F.col("collision_verdict") == "FALSE")
+    for column in ("collision_group", "collision_verdict"):
+        written = written.withColumn(f"_{column}", F.when(~unknown, F.col(column)))
+    return written.select(
+        *plain.columns, F.col("_collision_group").alias("collision_group"), F.col("_collision_verdict").alias("collision_verdict")
+    )
+
+
 def collide(
     registry: DataFrame,
     model: Model,
@@ -213,32 +243,60 @@ def collide(
         settled = known.where("verdict <> 'ERROR'")
         again = known.where("verdict = 'ERROR'").select("id_a", "id_b")
         pairs = pairs.unionByName(again).distinct().join(settled.select("id_a", "id_b"), ["id_a", "id_b"], "left_anti")
-    given = lambda c: F.col(c) if c in registry.columns else F.lit(None)
-    shown = registry.select(
-        "row_ord",
-        "function_id",
-        "executor",
-        given("true_type").alias("type"),
-        given("sphere").alias("sphere"),
-        F.col("function_text").alias("text"),
-    )
-    asked = labels.pair_prompts(pairs, shown, "row_ord", template, "function_id")
-    accept = lambda a: a is not None and any(v in a.upper() for v in ("REAL", "FALSE"))
-    judged = infer(asked, "prompt", model, accept).select("id_a", "id_b", answers.pair_verdict(F.col("raw")).alias("verdict"))
+    judged = _judged(pairs, registry, model, template).select("id_a", "id_b", "verdict")
     if known is not None:
         judged = judged.unionByName(settled.select("id_a", "id_b", "verdict"))
     judged = cut_lineage(judged)
     groups = group_pairs(judged.where("verdict = 'REAL'"))
     plain = registry.drop("collision_group", "collision_verdict")
-    failed = broadcast_if_small(vectors.where("embedding IS NULL").select(F.col("row_ord").alias("_failed")))
-    written = write_back(plain, groups, "row_ord").join(failed, F.col("row_ord") == F.col("_failed"), "left")
-    unknown = F.col("_failed").isNotNull() & (F.col("collision_verdict") == "FALSE")
-    for column in ("collision_group", "collision_verdict"):
-        written = written.withColumn(f"_{column}", F.when(~unknown, F.col(column)))
-    written = written.select(
-        *plain.columns, F.col("_collision_group").alias("collision_group"), F.col("_collision_verdict").alias("collision_verdict")
-    )
-    return Collided(written, judged)
+    return Collided(_with_groups(plain, vectors, groups), judged)
+
+
+@dataclass(frozen=True)
+class Grouped:
+    registry: DataFrame
+    pairs: DataFrame
+    members: DataFrame
+
+
+def collide_classes(
+    registry: DataFrame,
+    model: Model,
+    encode: Encoder,
+    template: str,
+    universal: DataFrame | None = None,
+    block_cols: tuple[str, ...] = ("true_type", "sphere_3"),
+    threshold: float = PAIR_THRESHOLD,
+    universal_threshold: float | None = BOILERPLATE_THRESHOLD,
+    catch_all: str | None = CATCH_ALL_LABEL,
+    sizes: similar.Sizes = similar.Sizes(),
+) -> Grouped:
+    """As ``collide`` from scratch, with one verdict for all copies of a text in a block.
+
+    Rows of a block with equal texts are a class.  The model is asked about one pair of rows for each pair of similar
+    classes and for each class of several owners, so its calls follow the texts and not the pairs of copies.
+    Where it says so, all rows of both classes are in one group.  ``pairs`` has the representatives with their
+    classes, the classes' sizes and the verdict; ``members`` (class, id) the rows of each class.
+    """
+    blocks = [c for c in block_cols if c in registry.columns]
+    vectors = cut_lineage(embed(registry, "function_text", encode))
+    kept = vectors
+    if universal is not None:
+        library = embed(universal.select("text").distinct(), "text", encode)
+        kept = similar.drop_boilerplate(vectors, library, "row_ord", "embedding", "text", "embedding", universal_threshold, sizes)
+    kept = kept.withColumn("_text", F.coalesce("function_text", F.lit("")))
+    exclude = ("true_type", catch_all) if catch_all and "true_type" in registry.columns else None
+    found = similar.near_duplicate_classes(kept, "row_ord", "embedding", "executor", "_text", blocks, threshold, exclude, sizes=sizes)
+    pairs, members = cut_lineage(found.pairs), cut_lineage(found.members)
+    judged = cut_lineage(_judged(pairs, registry, model, template))
+    real = judged.where("verdict = 'REAL'")
+    # A class that goes with itself has no link to another one; its members are tied to its name.
+    live = real.select(F.explode(F.array("class_a", "class_b")).alias("class")).distinct()
+    ties = members.join(broadcast_if_small(cut_lineage(live)), "class", "left_semi").where("class <> id")
+    links = real.select("class_a", "class_b").unionByName(ties.select(F.col("class").alias("class_a"), F.col("id").alias("class_b")))
+    groups = group_pairs(links, "class_a", "class_b")
+    plain = registry.drop("collision_group", "collision_verdict")
+    return Grouped(_with_groups(plain, vectors, groups), judged, members)
 
 
 def report(registry: DataFrame, rules: ReportRules = ReportRules()) -> DataFrame:
