@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from lexroll.functions.text import strip
 from lexroll.operators.lineage import cut_lineage
 from lexroll.operators.skew import join_to_keys
+from lexroll.operators.store import Store
 from lexroll.profile import ATTEMPTS, BACKOFF_SECONDS, EMBED_BATCH
 
 Model = Callable[[list[str]], list[str]]
@@ -83,12 +84,14 @@ def infer(
     backoff: float = BACKOFF_SECONDS,
     batch: int = EMBED_BATCH,
     partitions: int | None = None,
+    store: Store | None = None,
 ) -> DataFrame:
     """Add ``raw``, ``status`` and ``attempts``.
 
     Equal prompts are asked once, however many rows have them.  Transient errors wait, doubling; an answer that
     ``accept`` refuses is asked for again at once; any other error marks its row only.
-    The answers are written down at once, so no later step asks the model again.
+    The answers are written down at once, so no later step asks the model again.  With a ``store``, prompts answered in
+    earlier runs are not asked, good answers are added to it, and ``asked_in`` tells the run of each.
     """
     keyed = df.withColumn("_key", F.sha2(F.coalesce(prompt_col, F.lit("")), 256))
     asked = keyed.groupBy("_key").agg(F.first(F.coalesce(prompt_col, F.lit(""))).alias("prompt"), F.count("*").alias("_rows"))
@@ -105,7 +108,8 @@ def infer(
                      "status": [s[1] for s in said], "attempts": [s[2] for s in said]}
                 )
 
-    answers = cut_lineage(asked.mapInPandas(run, "_key string, _rows long, raw string, status string, attempts int"))
+    answer = lambda new: cut_lineage(new.mapInPandas(run, "_key string, _rows long, raw string, status string, attempts int"))
+    answers = answer(asked) if store is None else store.through(asked, answer, "raw string, status string, attempts int", "status = 'OK'")
     return join_to_keys(keyed, answers, "_key", "_rows").drop("_key")
 
 
@@ -118,8 +122,9 @@ def embed(
     attempts: int = ATTEMPTS,
     wait: float = 1.0,
     partitions: int | None = None,
+    store: Store | None = None,
 ) -> DataFrame:
-    """Add the embedding of a text; equal texts are encoded once.
+    """Add the embedding of a text; equal texts are encoded once, with a ``store`` once in all runs.
 
     Blank and missing texts are encoded as a single blank.  A text that cannot be encoded
     gets NULL, which later operators leave out, and not a vector of zeros.
@@ -153,7 +158,8 @@ def embed(
                     names=["_key", "_rows", out],
                 )
 
-    vectors = cut_lineage(texts.mapInArrow(run, f"_key string, _rows long, {out} array<float>"))
+    encode_all = lambda new: cut_lineage(new.mapInArrow(run, f"_key string, _rows long, {out} array<float>"))
+    vectors = encode_all(texts) if store is None else store.through(texts, encode_all, f"{out} array<float>", f"{out} IS NOT NULL")
     return join_to_keys(keyed, vectors, "_key", "_rows").drop("_key")
 
 

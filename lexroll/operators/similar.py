@@ -290,6 +290,25 @@ def near_duplicate_pairs(
     return pairs
 
 
+def sound_blocks(df: DataFrame, vec_col: str, block_cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of blocks that can be compared, and the other blocks (block columns, n_items, reason).
+
+    A block fails if its vectors differ in length or hold numbers that aren't finite.  One aggregate over the blocks;
+    missing vectors take no part in pairing and fail nothing.
+    """
+    blocks = [c for c in block_cols if c in df.columns]
+    length = F.when(F.col(vec_col).isNotNull(), F.size(vec_col))
+    finite = F.forall(vec_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
+    seen = df.groupBy(block_key(blocks).alias("_block"), *blocks).agg(
+        F.count("*").alias("n_items"), F.min(length).alias("_least"), F.max(length).alias("_most"),
+        F.bool_and(F.coalesce(finite, F.lit(True))).alias("_finite"),
+    )
+    reason = F.when(F.col("_least") != F.col("_most"), "vectors of mixed length").when(~F.col("_finite"), "numbers that are not finite")
+    failed = cut_lineage(seen.withColumn("reason", reason).where("reason IS NOT NULL").select("_block", *blocks, "n_items", "reason"))
+    sound = df.join(broadcast_if_small(failed.select("_block")), block_key(blocks) == F.col("_block"), "left_anti")
+    return sound, failed.drop("_block")
+
+
 def near_duplicate_links(
     df: DataFrame,
     id_col: str,

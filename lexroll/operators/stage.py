@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
 from lexroll.functions.text import strip
@@ -57,3 +57,10 @@ def read_snapshot(spark: SparkSession, path: str, schema: StructType | str) -> D
 def write_snapshot(df: DataFrame, path: str) -> None:
     """A new snapshot; a path is never read and overwritten in one stage."""
     df.write.mode("errorifexists").parquet(path)
+
+
+def write_measured(df: DataFrame, path: str, **measures: Column) -> dict[str, object]:
+    """Write a new snapshot and return the aggregates named, gathered by the tasks that write it; no second pass."""
+    seen = Observation()
+    write_snapshot(df.observe(seen, *[c.alias(n) for n, c in measures.items()]), path)
+    return seen.get

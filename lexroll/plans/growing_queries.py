@@ -2,15 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lexroll.functions import answers
 from lexroll.operators import hierarchy
 from lexroll.operators.closure import group_pairs, grow_groups
-from lexroll.operators.similar import near_duplicate_pairs
-from lexroll.plans.catalog import query
+from lexroll.operators.inference import embed, infer
+from lexroll.operators.lineage import run_folder
+from lexroll.operators.similar import near_duplicate_pairs, sound_blocks
+from lexroll.operators.stage import write_measured
+from lexroll.operators.store import Store
+from lexroll.plans.catalog import query, table
+from lexroll.plans.model_queries import DIGEST, TYPES, Answering, chosen
 from lexroll.plans.registry_queries import NAMES, PATHS, bodies
-from lexroll.plans.vector_queries import PAIRS, THRESHOLD, vectors
-from lexroll.profile import GROUP_PREFIX
+from lexroll.plans.text_queries import ITEMS, judged
+from lexroll.plans.vector_queries import PAIRS, THRESHOLD, pairs_of, vectors
+from lexroll.plans.whole_stage_queries import Failing, digits, digits_of
+from lexroll.profile import GROUP_PREFIX, TYPE_LABELS
 
 
 def reached(name: str, source: str) -> str:
@@ -59,3 +69,79 @@ def registry_rows_in_runs(spark: SparkSession, folder: str) -> DataFrame:
     second, _ = hierarchy.arriving_rows(paths, items.where(F.col("ord") > half), hierarchy.number_marks(first), ["ord"])
     runs = first.withColumn("run", F.lit(1)).unionByName(second.withColumn("run", F.lit(2)))
     return runs.drop("item_no")
+
+
+KEPT = """p AS (SELECT event_id, 'Choose a type: ' || event_type || ' ' || props AS prompt FROM events), earlier AS (
+  SELECT DISTINCT prompt FROM p WHERE event_id % 2 = 0)"""
+
+
+@query(
+    f"""WITH {KEPT}, a AS (SELECT event_id, {DIGEST} % 11 = 0 AS failed, {chosen(TYPES)} AS said, prompt IN (SELECT prompt FROM earlier) AS met FROM p)
+SELECT event_id, CASE WHEN NOT failed THEN CASE WHEN said IN ({", ".join(f"'{x}'" for x in TYPE_LABELS)}) THEN said ELSE 'НЕОПРЕДЕЛЕНО' END END AS true_type,
+  CASE WHEN failed THEN 'ERROR' ELSE 'OK' END AS status, CASE WHEN met AND NOT failed THEN 'first' ELSE 'second' END AS asked_in FROM a"""
+)
+def answers_of_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second event is typed, then all: prompts answered in the first run aren't asked again, failed ones are."""
+    asked = table(spark, folder, "events").select(
+        "event_id", F.concat(F.lit("Choose a type: "), "event_type", F.lit(" "), "props").alias("prompt")
+    )
+    path, model = f"{run_folder(spark)}/{uuid.uuid4().hex}", Failing(Answering("verdict", TYPES), 11)
+    infer(asked.where("event_id % 2 = 0"), "prompt", model, store=Store(path, "first"))
+    answered = infer(asked, "prompt", model, store=Store(path, "second"))
+    fine = F.when(F.col("status") == "OK", answers.type_verdict(F.col("raw")))
+    return answered.select("event_id", fine.alias("true_type"), "status", "asked_in")
+
+
+@query(
+    f"""WITH texts AS (SELECT doc_id, CASE WHEN trim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> '' THEN text ELSE ' ' END AS text FROM documents)
+SELECT doc_id, {digits('text')} AS embedding,
+  CASE WHEN text IN (SELECT text FROM texts WHERE doc_id % 3 = 0) THEN 'first' ELSE 'second' END AS asked_in FROM texts"""
+)
+def vectors_of_two_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of the documents is encoded, then all: texts that have a vector keep it."""
+    docs, path = table(spark, folder, "documents").select("doc_id", "text"), f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    embed(docs.where("doc_id % 3 = 0"), "text", digits_of, store=Store(path, "first"))
+    found = embed(docs, "text", digits_of, store=Store(path, "second"))
+    return found.select("doc_id", F.col("embedding").cast("array<double>").alias("embedding"), "asked_in")
+
+
+def broken(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors with a short one in block 3 and one that is no number in block 5."""
+    short = F.slice("embedding", 1, 10)
+    odd = F.transform("embedding", lambda x: F.lit(float("nan")).cast("float"))
+    rows = vectors(spark, folder)
+    first = {r["label"]: r["v"] for r in rows.where("label IN (3, 5)").groupBy("label").agg(F.min("vec_id").alias("v")).collect()}
+    hit = lambda label: F.col("vec_id") == F.lit(first.get(label, -1))
+    return rows.withColumn("embedding", F.when(hit(3), short).when(hit(5), odd).otherwise(F.col("embedding")))
+
+
+@query("""SELECT label, count(*) AS n_items,
+  CASE label WHEN 3 THEN 'vectors of mixed length' ELSE 'numbers that are not finite' END AS reason
+FROM embeddings WHERE label IN (3, 5) GROUP BY label""")
+def failed_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """Blocks that cannot be compared are reported; nothing stops."""
+    return sound_blocks(broken(spark, folder), "embedding", ["label"])[1]
+
+
+@query(f"WITH {PAIRS} SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs WHERE label NOT IN (3, 5)")
+def pairs_beside_failed_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The other blocks' pairs are as ever."""
+    sound, _ = sound_blocks(broken(spark, folder), "embedding", ["label"])
+    return pairs_of(sound).withColumn("sim", F.round("sim", 6))
+
+
+@query(
+    f"""WITH {ITEMS} SELECT count(DISTINCT doc_id) AS documents, count(CASE WHEN status = 'OK' THEN 1 END) AS sections,
+  CAST(sum(n) AS BIGINT) AS functions FROM status"""
+)
+def run_totals_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals of a run, gathered while its sections are written."""
+    found, path = judged(spark, folder), f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    fine = F.col("status") == "OK"
+    totals = write_measured(
+        found, path, sections=F.count_if(fine), functions=F.sum(F.when(fine, F.size("items")).otherwise(0)),
+        firsts=F.count_if(F.col("section_no") == 1),
+    )
+    return spark.createDataFrame(
+        [(totals["firsts"], totals["sections"], totals["functions"] or 0)], "documents long, sections long, functions long"
+    )
