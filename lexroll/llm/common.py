@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
 import pyarrow as pa
@@ -16,8 +16,25 @@ from pyspark.sql.types import DataType, _parse_datatype_string
 BATCH_ROWS = 512
 
 WORD = re.compile("[^ \t-\r]+")
-# Runs of marks, digits and Latin letters that Python and the tokenizers' libraries class and fold alike.
-PLAIN = re.compile("[!-~¡«»¿À-ÖØ-öø-įı-ɏ‘’“”–—…]*")
+# Marks, digits and Latin letters that Python and the tokenizers' libraries class and fold alike.
+PLAIN_LETTERS = "!-~¡«»¿À-ÖØ-öø-įı-ɏ‘’“”–—…"
+PLAIN = re.compile(f"[{PLAIN_LETTERS}]*")
+
+
+class Kept(dict):
+    """A function's values by their keys, worked out when first asked for; at most ``most`` of them, and none of a long key."""
+
+    def __init__(self, function: Callable[[str], Any], most: int, long: int = 64) -> None:
+        super().__init__()
+        self.function, self.most, self.long = function, most, long
+
+    def __missing__(self, key: str) -> Any:
+        value = self.function(key)
+        if len(key) <= self.long:
+            if len(self) >= self.most:
+                self.clear()
+            self[key] = value
+        return value
 
 
 def text_batches(spark: SparkSession) -> None:
@@ -43,6 +60,31 @@ def per_text(function: Callable[[str | None], Any], returns: DataType | str) ->
     return column
 
 
+def per_texts(
+    function: Callable[[list[str | None]], list], returns: DataType | str, letters: int = 1 << 20
+) -> Callable[[Column], Column]:
+    """The same for a function of several texts at once: those of about ``letters`` letters together, or a longer one."""
+
+    def column(text: Column) -> Column:
+        spark_kind = _parse_datatype_string(returns) if isinstance(returns, str) else returns
+        kind = to_arrow_type(spark_kind)
+
+        def results(texts: pa.Array) -> Iterator[Any]:
+            held, volume = [], 0
+            for text in texts:
+                held.append(text.as_py())
+                volume += len(held[-1] or "")
+                if volume >= letters:
+                    yield from function(held)
+                    held, volume = [], 0
+            if held:
+                yield from function(held)
+
+        return F.arrow_udf(lambda texts: pa.array(results(texts), type=kind), spark_kind)(text)
+
+    return column
+
+
 def share(spark: SparkSession, thing: Any) -> Broadcast:
     """``thing``'s parts, sent to each executor once; a Python worker keeps what they remember between its tasks."""
     return spark.sparkContext.broadcast(dict(thing.__dict__))

@@ -36,6 +36,12 @@ def test_bpe_is_the_librarys(library, automaton):
     same()
 
 
+def test_table_begun_anew(library, automaton, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_PAIRS", 7)
+    for text in ("unbelievably long-winded antidisestablishmentarianism", "x1" * 90, "naïve Übergröße" * 3):
+        assert automaton.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 def test_decode_of_any_ids(library, automaton):
     @settings(max_examples=200, deadline=None)
     @given(st.lists(st.integers(0, 50_256), max_size=20))
@@ -68,7 +74,7 @@ def test_small_automaton():
 
     for size in range(9):
         for word in map("".join, product("ab", repeat=size)):
-            assert list(own._word(word)) == brute(word), word
+            assert own._word(word.encode()) == own.run([word.encode()])[0].tolist() == brute(word), word
 
 
 def test_digests(spark, odd_documents, no_documents, library):
