@@ -10,7 +10,8 @@ The text of a page is that of its content blocks in page order: references decod
 made one space, blocks joined by one space.
 
 Defined cases: null and empty pages give an empty text.  Markup that is never closed ends with the page; an end
-tag that closes nothing is passed over.  Repeated rows give equal texts.  Pages may have any length.  Other
+tag that closes nothing is passed over.  Work grows with the page's length, and with what its markup leaves open hardly at
+all; after ``BROKEN_QUOTES`` tags whose quotes never end, quotes are letters.  Repeated rows give equal texts.  Pages may have any length.  Other
 columns are ignored.
 """
 
@@ -26,13 +27,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from lexroll.llm.common import per_text, text_batches
 
+_PLAIN_TAG = r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>"
+_REMARK = r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
 MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>"
-    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
-    re.S,
+    _REMARK + r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|" + _PLAIN_TAG, re.S
 )
+UNQUOTED = re.compile(_REMARK + "|()()()(?!)|" + _PLAIN_TAG, re.S)
+BROKEN_QUOTES = 64  # tags of a page whose quotes never end; from then on its quotes are letters like others
 # Elements whose inside is no text to read.
-SILENT = {"script", "style", "title", "noscript", "template", "iframe", "svg", "math", "textarea", "select", "object", "canvas", "audio", "video", "xmp", "noembed", "noframes"}
+SILENT = {"script", "style", "title", "noscript", "template", "iframe", "svg", "textarea", "select", "object", "canvas", "audio", "video", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr", "param"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label",
@@ -62,12 +65,15 @@ WORDS_AGAINST = {
     "overlay", "pager", "pagination", "popup", "promo", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share",
     "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "subscription", "tags", "toolbar", "topbar", "widget",
 }
+# Inside an article these may as well name a part of it; the text and its neighbours have a say.
+WORDS_DOUBTFUL = {"discussion", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing", "social", "tags"}
 WORDS_AGAINST_ARTICLES = {"ad", "advert", "comment", "comments", "promo", "related", "reply", "sponsored"}
 ROLES = {
     "main": 3.0, "article": 3.0, "navigation": -7.0, "banner": -7.0, "contentinfo": -7.0, "complementary": -7.0, "search": -7.0,
     "dialog": -7.0, "alert": -6.0, "alertdialog": -7.0, "menu": -7.0, "menubar": -7.0, "toolbar": -7.0, "form": -7.0,
 }
 AGAINST = -7.0
+DOUBT = -3.0
 HIDDEN = -9.0
 STRONG = -5.0  # evidence that stands by itself, whatever is around
 NEXT, SIBLING = 1.0, 0.5  # capacities of edges at distance one
@@ -85,6 +91,7 @@ class Element:
     in_article: bool
     in_link: bool
     parent: Element | None
+    holder: Element | None = None  # the nearest element around that is no inline one, or this
 
 
 @dataclass
@@ -108,7 +115,7 @@ def _evidence(name: str, raw: str, in_article: bool) -> float:
     parts = {p.lower() for key in ("class", "id") for p in NAME_PARTS.findall(given.get(key, ""))}
     against = parts & (WORDS_AGAINST if name not in ("article", "main") else WORDS_AGAINST_ARTICLES)
     if against and name not in ("body", "html"):
-        own = min(own, AGAINST)
+        own = min(own, DOUBT if in_article and against <= WORDS_DOUBTFUL else AGAINST)
     else:
         own += max((WORDS_FOR[p] for p in parts & WORDS_FOR.keys()), default=0.0) if name != "body" else 0.0
     role = ROLES.get(given.get("role", "").lower(), 0.0)
@@ -122,7 +129,10 @@ def _evidence(name: str, raw: str, in_article: bool) -> float:
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page with the classifier's log odds for content."""
     root = Element("", 0, 0, 0.0, False, False, None)
+    root.holder = root
     top, number = root, 0
+    opened: dict[str, list[Element]] = {}
+    scopes = [root]
     blocks: list[Block] = []
     pieces: list[str] = []
     linked = 0
@@ -141,16 +151,30 @@ def blocks_of(page: str) -> list[Block]:
     def say(text: str) -> None:
         nonlocal holder, linked
         if not pieces:
-            holder = top
-            while holder.name in INLINE and holder.parent is not None:
-                holder = holder.parent
+            holder = top.holder
         pieces.append(text)
         if top.in_link:
             linked += len(text.strip())
 
-    at = 0
+    def close(node: Element) -> None:
+        """Leave ``node`` and all that is open inside it."""
+        nonlocal top
+        while top is not node.parent:
+            opened[top.name].pop()
+            if top is scopes[-1]:
+                scopes.pop()
+            top = top.parent
+
+    def close_last(names: set[str]) -> None:
+        """Leave the innermost open element of these names, unless a scope lies between."""
+        last = max((opened[n][-1] for n in names if opened.get(n)), key=lambda e: e.number, default=root)
+        if last is not root and last.number >= scopes[-1].number:
+            close(last)
+
+    at, markup, broken, last_end = 0, MARKUP, 0, page.rfind(">")
     while True:
-        found = MARKUP.search(page, at)
+        # Beyond the last ">" only an open comment is markup.
+        found = markup.search(page, at) if at <= last_end or page.find("<!--", at) >= 0 else None
         if found is None:
             if at < len(page):
                 say(page[at:])
@@ -161,17 +185,17 @@ def blocks_of(page: str) -> list[Block]:
         slash, name, raw = found.group(1), found.group(2), found.group(3)
         if name is None:
             slash, name, raw = found.group(4), found.group(5), found.group(6)
-        if name is None:
-            continue  # a comment or declaration
+            if name is None:
+                continue  # a comment or declaration
+            broken += '"' in raw or "'" in raw
+            if broken > BROKEN_QUOTES:
+                markup = UNQUOTED
         name = name.lower()
         if name not in INLINE:
             flush()
         if slash:
-            node = top
-            while node is not root and node.name != name:
-                node = node.parent
-            if node is not root:
-                top = node.parent
+            if opened.get(name):
+                close(opened[name][-1])
             continue
         if name in SILENT:
             if not raw.endswith("/"):
@@ -182,17 +206,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         ended = ENDS.get(name) or ({"p"} if name in CLOSES_P else None)
         if ended:
-            node = top
-            while node is not root and node.name not in ended and (node.name not in SCOPES or node.name in ended):
-                node = node.parent
-            if node is not root and node.name in ended:
-                top = node.parent
+            close_last(ended)
         if name in CLOSES_P and ended != {"p"}:
-            node = top
-            while node is not root and node.name != "p" and node.name not in SCOPES:
-                node = node.parent
-            if node.name == "p":
-                top = node.parent
+            close_last({"p"})
         number += 1
         own = _evidence(name, raw, top.in_article)
         evidence = own if own <= STRONG else top.evidence + own
@@ -204,6 +220,10 @@ def blocks_of(page: str) -> list[Block]:
             name, number, top.depth + 1, evidence,
             top.in_article or name == "article", top.in_link or name == "a", top,
         )
+        top.holder = top.parent.holder if name in INLINE else top
+        opened.setdefault(name, []).append(top)
+        if name in SCOPES:
+            scopes.append(top)
     flush()
     return blocks
 
@@ -280,31 +300,48 @@ def minimum_cut(source: list[float], sink: list[float], edges: dict[tuple[int, i
 
 
 def _flow(need: dict[int, float], left: dict[int, dict[int, float]]) -> set[int]:
-    """Push flow along shortest paths from nodes that have too much to nodes that lack; the nodes still reached."""
+    """Push flow from nodes that have too much to nodes that lack, level by level; the nodes still reached.
+
+    Each round measures how far nodes are from those with too much and blocks all shortest paths at once.
+    """
+    least = 1e-12
     while True:
-        came: dict[int, int | None] = {i: None for i, x in need.items() if x > 1e-12}
-        queue, end = deque(came), None
-        while queue and end is None:
+        level = {i: 0 for i, x in need.items() if x > least}
+        queue = deque(level)
+        lacking = False
+        while queue:
             i = queue.popleft()
+            lacking = lacking or need[i] < -least
             for j, c in left[i].items():
-                if c > 1e-12 and j not in came:
-                    came[j] = i
-                    if need[j] < -1e-12:
-                        end = j
-                        break
+                if c > least and j not in level:
+                    level[j] = level[i] + 1
                     queue.append(j)
-        if end is None:
-            return set(came)
-        path, i = [end], end
-        while (i := came[i]) is not None:
-            path.append(i)
-        first = path[-1]
-        amount = min(need[first], -need[end], *(left[b][a] for a, b in zip(path, path[1:])))
-        for a, b in zip(path, path[1:]):
-            left[b][a] -= amount
-            left[a][b] += amount
-        need[first] -= amount
-        need[end] += amount
+        if not lacking:
+            return set(level)
+        arcs, at = {i: list(left[i]) for i in level}, dict.fromkeys(level, 0)
+        for source in [i for i in level if need[i] > least]:
+            path = [source]
+            while path and need[source] > least:
+                here = path[-1]
+                if need[here] < -least:
+                    amount = min(need[source], -need[here], *(left[a][b] for a, b in zip(path, path[1:])))
+                    for a, b in zip(path, path[1:]):
+                        left[a][b] -= amount
+                        left[b][a] += amount
+                    need[source] -= amount
+                    need[here] += amount
+                    keep = next((k for k, (a, b) in enumerate(zip(path, path[1:])) if left[a][b] <= least), len(path) - 1)
+                    del path[keep + 1 :]
+                    continue
+                while at[here] < len(arcs[here]):
+                    onward = arcs[here][at[here]]
+                    if left[here][onward] > least and level.get(onward) == level[here] + 1:
+                        path.append(onward)
+                        break
+                    at[here] += 1  # it leads nowhere in this round
+                else:
+                    level[here] = -1
+                    path.pop()
 
 
 def main_text_of(page: str | None) -> str:
