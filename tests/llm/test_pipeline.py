@@ -3,15 +3,16 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from lexroll.llm import decontaminate, quality_classifier, quality_rules, simhash
-from tests.llm.test_pairs import brute_components, brute_contamination
+from lexroll.llm import quality_classifier, quality_rules
+from tests.llm.test_jaccard import brute_kept
+from tests.llm.test_pairs import brute_contamination
 
 FOLDER = "/root/testdata/sf0.001"
 LLM = sorted(n for n in entry.queries() if n.startswith("op"))
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in LLM} == {f"op{i}" for i in range(1, 11)} and "pipeline" in entry.queries()
+    assert {n.split("_")[0] for n in LLM} == {f"op{i}" for i in range(1, 14)} and "pipeline" in entry.queries()
 
 
 def test_stages_by_brute_force(spark):
@@ -29,7 +30,7 @@ def test_stages_by_brute_force(spark):
     assert sound.columns == columns and {r["doc_id"] for r in sound.collect()} == own  # no bad host here
     once = steps["near-duplicates"](spark, sound, FOLDER).cache()
     rows = [(r["doc_id"], r["text"]) for r in sound.collect()]
-    assert once.columns == columns and sorted(r["doc_id"] for r in once.collect()) == sorted(set(brute_components(rows)[1]))
+    assert once.columns == columns and sorted(r["doc_id"] for r in once.collect()) == brute_kept(rows)
     clean = steps["decontamination"](spark, once, FOLDER).cache()
     left = sorted(r["doc_id"] for r in once.collect() if not brute_contamination(r["text"], items)[4])
     assert clean.columns == columns and sorted(r["doc_id"] for r in clean.collect()) == left
