@@ -9,10 +9,9 @@ this order those that still fit go in whole.  When none fits, the best of the ot
 sequence and its rest is the next seed.  What a shard leaves over, less than a window, goes on to the next shard; the
 task's last rest is cut into sequences whose lengths are powers of two, which need no padding.
 
-Encoding: texts are cut at blanks, ids of a run between blanks are kept, and so are those of its words.  Runs of plain
-letters, digits and marks are split and folded here as the tokenizer does and its model spells the words; any other run
-goes to the tokenizer whole.  White space is never part of a token, and no mark composes with it, so runs are
-independent.  Special tokens' strings in a text are those tokens, as the library has it.
+Encoding: texts of plain letters, digits and marks are split and folded here as the tokenizer does, its model spells the
+words, and their ids are kept.  Other texts are cut at blanks; a run that is not plain goes to the tokenizer whole.
+White space is never part of a token, and no mark composes with it, so runs are independent.  Special tokens' strings in a text are those tokens, as the library has it.
 
 Defined cases: a null text counts as empty; such a document is one end id.  Null ids are kept, repeated rows are packed
 each.  Ties in the ranking go by place in the shard, which is fixed by ``near`` columns, ids and tokens.  Texts may have
@@ -35,80 +34,69 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import LongType, StructField, StructType
 
 from lexroll.llm.bpe import byte_letters
-from lexroll.llm.common import PLAIN, per_text, share, shared, text_batches
+from lexroll.llm.common import PLAIN_LETTERS, Kept, per_text, share, shared, text_batches
 
 WINDOW = 4096
-END_ID = 2
+END = (2).to_bytes(4, "little")  # the id after each document
 SHARD_TOKENS = 1 << 19  # tokens that one index holds
 SHARD_BYTES = 2 * 1024 * 1024  # of text, about the same
 TASK_BYTES = 128 * 1024 * 1024  # of text, dealt to one task at most, about
 K1, B = 1.2, 0.75
-KEPT_RUNS = 300_000
-KEPT_WORDS = 200_000
-LONG_RUN = 64
+KEPT_WORDS = 400_000
+KEPT_RUNS = 50_000
 
 # Fixed: how the vocabulary's library splits folded text.
+BLANKS = re.compile("[ \t\n\r]+")
+ODD = re.compile(f"[^{PLAIN_LETTERS} \t\n\r]")
 WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 
 
 class WordEncoder:
-    """Ids of a tokenizer file whose tokens hold no white space."""
+    """Ids of a tokenizer file whose tokens hold no white space; the tokenizer is opened in the task."""
 
     def __init__(self, model: str) -> None:
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_str(model)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.marks = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.model = model
+        self.narrow = Tokenizer.from_str(model).get_vocab_size() <= 1 << 16
+        self.library = None
+
+    def open(self) -> None:
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(self.model)
+        library.no_truncation()
+        library.no_padding()
+        self.marks = [t.content for t in library.get_added_tokens_decoder().values()]
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.runs: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.spell = library.model.tokenize
+        self.library = library
+        self.words = Kept(self._word, KEPT_WORDS)
+        self.runs = Kept(self._run, KEPT_RUNS)
 
     def encode(self, text: str) -> bytes:
         """The ids of a whole text, four bytes each, the least first."""
-        runs = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        kept = self.runs
-        new = set(runs).difference(kept)
-        if new:
-            if len(kept) + len(new) > KEPT_RUNS:
-                kept.clear()
-                new = set(runs)
-            spell = self.library.model.tokenize
-            for run in new:
-                kept[run] = self._run(run, spell)
-        ids = b"".join(map(kept.__getitem__, runs))
-        for run in new:
-            if len(run) > LONG_RUN:
-                del kept[run]
-        return ids
-
-    def _run(self, run: str, spell) -> bytes:
-        if not PLAIN.fullmatch(run) or any(mark in run for mark in self.marks):
+        if self.library is None:
+            self.open()
+        if ODD.search(text) or any(mark in text for mark in self.marks):
+            return b"".join(map(self.runs.__getitem__, BLANKS.split(text)))
+        return b"".join(map(self.words.__getitem__, WORD.findall(text.lower())))
+
+    def _run(self, run: str) -> bytes:
+        if ODD.search(run) or any(mark in run for mark in self.marks):
             return _four(self.library.encode(run, add_special_tokens=False).ids)
-        words, out = self.words, []
-        for word in WORD.findall(run.lower()):
-            ids = words.get(word)
-            if ids is None:
-                if len(words) >= KEPT_WORDS:
-                    words.clear()
-                ids = _four([t.id for t in spell(word.encode().decode("latin-1").translate(self.letters))])
-                if len(word) <= LONG_RUN:
-                    words[word] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.words.__getitem__, WORD.findall(run.lower())))
+
+    def _word(self, word: str) -> bytes:
+        return _four([t.id for t in self.spell(word.encode().decode("latin-1").translate(self.letters))])
 
     def cut(self, text: str | None) -> dict:
         """Number of ids with the end id, checks of the full windows, and the ids after these."""
-        ids = self.encode(text or "") + _four([END_ID])
+        ids = self.encode(text or "") + END
         full = len(ids) // (4 * WINDOW)
         checks = [zlib.crc32(ids[4 * WINDOW * k : 4 * WINDOW * (k + 1)]) for k in range(full)]
         return {"doc_tokens": len(ids) // 4, "windows": checks, "tail": _narrow(ids[4 * WINDOW * full :], self.narrow)}
 
-    @property
-    def narrow(self) -> bool:
-        return self.library.get_vocab_size() <= 1 << 16
-
 
 def _four(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -203,11 +191,12 @@ def powers(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
     return out
 
 
-def _packer(narrow: bool, schema: pa.Schema, window: int, shard_tokens: int):
+def _packer(encoder: Broadcast, schema: pa.Schema, window: int, shard_tokens: int):
     """For rows (doc_id, doc_tokens, windows, tail) in their order, the pieces of all sequences of a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
+        kind = "<u2" if shared(WordEncoder, encoder).narrow else "<u4"
         # Fragments: (doc_id, doc_tokens, place of the first id in the document, ids).
         held: list[tuple] = []
         volume = 0
@@ -230,7 +219,7 @@ def _packer(narrow: bool, schema: pa.Schema, window: int, shard_tokens: int):
                 for k, check in enumerate(checks):
                     rows.append((doc, k * window, window, check, tokens, number, 0))
                     number += 1
-                ids = np.frombuffer(tail, "<u2" if narrow else "<u4").astype("<u4")
+                ids = np.frombuffer(tail, kind).astype("<u4")
                 if ids.size:
                     held.append((doc, tokens, len(checks) * window, ids))
                     volume += ids.size
@@ -281,6 +270,5 @@ def pack(
     dealt = rows.repartition(tasks).withColumn("mix", F.xxhash64("doc_id", "tail")).sortWithinPartitions(*order)
     numbers = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     schema = StructType([StructField("doc_id", docs.schema[id_col].dataType)] + [StructField(n, LongType()) for n in numbers])
-    narrow = shared(WordEncoder, encoder).narrow
-    pack_rows = _packer(narrow, to_arrow_schema(schema), WINDOW, shard_tokens)
+    pack_rows = _packer(encoder, to_arrow_schema(schema), WINDOW, shard_tokens)
     return dealt.select("doc_id", "doc_tokens", "windows", "tail").mapInArrow(pack_rows, schema)

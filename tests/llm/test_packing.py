@@ -66,7 +66,7 @@ def test_odd_and_random_texts(library):
     draw = np.random.default_rng(3)
     letters = np.array(list("abcdeABÉé ü  ..,'12\n\tŸß-½語_<|>ΣςİIı́"))
     random = ["".join(draw.choice(letters, draw.integers(1, 60))) for _ in range(3000)]
-    for text in [t or "" for t in ODD] + random + ["don't CAN'T they'LL ΟΔΟΣ <|startoftext|>x<|endoftext|>", "x" * 500]:
+    for text in [t or "" for t in ODD] + random + ["don't CAN'T they'LL ΟΔΟΣ <|startoftext|>x<|endoftext|>", "x" * 500, "odd \x0b line\tend"]:
         assert np.frombuffer(encoder.encode(text), "<u4").tolist() == library_ids(library, text)[:-1], text
 
 
