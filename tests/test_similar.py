@@ -182,3 +182,33 @@ def test_copies_reach_a_threshold_of_one(spark, sizes):
     df = spark.createDataFrame(rows, "id string, vec array<double>, owner string")
     found = similar.near_duplicate_pairs(df, "id", "vec", "owner", [], 1.0, sizes=sizes).collect()
     assert sorted((r["id_a"], r["id_b"], r["sim"]) for r in found) == [(f"{i:03}a", f"{i:03}b", 1.0) for i in range(60)]
+
+
+def test_heads_settle_most_pairs_without_losing_one():
+    draw = np.random.default_rng(12)
+    rows = vectors.unit(np.vstack([draw.normal(size=(1500, 64)), np.zeros((2, 64))]))
+    near = vectors.unit(rows[:40] + 0.12 * draw.normal(size=(40, 64)))
+    rows = np.vstack([rows, near])
+    for threshold in (0.5, 0.45, 0.9):
+        prefix = similar.pick_prefix(rows[::3], threshold)
+        assert prefix.directions.shape[1] < 64
+        parts = prefix.parts(rows)
+        left = similar.open_pairs(parts, parts, threshold)
+        assert left.mean() < 0.1  # compared in full
+        sims = rows @ rows.T
+        assert not (~left & (np.round(sims, 9) >= threshold)).any()
+        a, b, sim = similar._similar(rows, rows, threshold, parts, parts)
+        assert set(zip(a.tolist(), b.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(np.round(sims, 9) >= threshold))))
+        assert np.allclose(sim, sims[a, b], atol=1e-9)
+    decaying = vectors.unit(draw.normal(size=(600, 64)) * 0.8 ** np.arange(64))
+    assert similar.pick_prefix(decaying, 0.9).directions.shape[1] <= 24
+    assert similar.pick_prefix(rows, -0.5) is None and similar.pick_prefix(rows[:1], 0.5) is None
+
+
+def test_low_threshold_in_one_large_block(spark):
+    draw = np.random.default_rng(13)
+    base = draw.normal(size=(300, 32))
+    rows = [(f"r{i:03d}", [float(np.float32(x)) for x in v], f"o{i % 4}", "b") for i, v in enumerate(np.vstack([base, base[:60] + 0.9 * draw.normal(size=(60, 32))]))]
+    found = similar.near_duplicate_pairs(frame(spark, rows), "id", "vec", "owner", ["none"], 0.5, sizes=Sizes(tile=100, max_pivots=4))
+    got = {(r["id_a"], r["id_b"]) for r in found.collect()}
+    assert got == brute_pairs(rows, 0.5) and len(got) > 40
