@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.functions.text import abbreviate, level_of
-from lexroll.operators.lineage import cut_lineage
+from lexroll.operators.lineage import broadcast_if_small, cut_lineage
 from lexroll.operators.ranks import go_on_numbering, row_numbers
 from lexroll.operators.skew import join_to_keys
 from lexroll.profile import NameRules
@@ -167,6 +167,60 @@ def hierarchy_paths(nodes: DataFrame, rules: NameRules = NameRules()) -> DataFra
     )
 
 
+def update_paths(known: DataFrame, changed: DataFrame, rules: NameRules = NameRules()) -> DataFrame:
+    """``known``, as ``hierarchy_paths`` gave it, after bodies have changed or come in.
+
+    ``changed`` has the new nodes of these bodies.  They and all that lies below them are climbed again, level by level down
+    and then in doubling steps up to the first body that stays as it was; other rows are taken over as they are.  A
+    cycle has a changed link, and so all of it is climbed again; it is cut as ever.
+    """
+    columns = changed.columns
+    changed = cut_lineage(changed)
+    marks = changed.select("name").distinct()
+    others = known.join(broadcast_if_small(marks), "name", "left_anti")
+    nodes = others.select(*columns).unionByName(changed)
+    links = cut_lineage(nodes.where(F.trim("parent_name") != "").select(F.trim("parent_name").alias("above"), "name"))
+    below = frontier = cut_lineage(marks)
+    while not frontier.isEmpty():
+        lower = links.join(broadcast_if_small(frontier.withColumnRenamed("name", "above")), "above").select("name").distinct()
+        frontier = cut_lineage(lower.join(below, "name", "left_anti"))
+        below = below.unionByName(frontier)
+    below = cut_lineage(below)
+    stay = cut_lineage(others.join(broadcast_if_small(below), "name", "left_anti"))
+    # Rows to climb, with what is known of the parents that stay.
+    todo = cut_lineage(nodes.join(broadcast_if_small(below), "name", "left_semi").withColumn("_asked", F.trim("parent_name")))
+    wanted = broadcast_if_small(cut_lineage(todo.select(F.col("_asked").alias("name")).where("name IS NOT NULL").distinct()))
+    above = stay.join(wanted, "name", "left_semi").select("name", F.col("id_prefix").alias("_path"), F.col("abbreviation").alias("_mark"), F.col("executor").alias("_boss"))
+    known_above = above.unionByName(todo.select("name"), allowMissingColumns=True).withColumnsRenamed({"name": "_asked"})
+    known_above = known_above.withColumn("up", F.col("_asked"))
+    linked = _look_up(todo, cut_lineage(known_above), "_asked").withColumn("_stays", F.col("_path").isNotNull())
+    # A parent that stays ends the climb, with its whole path before the body's own mark.
+    start = linked.select(
+        "name", F.when(~F.coalesce("_stays", F.lit(False)), F.col("up")).alias("up"),
+        F.concat_ws("-", "_path", "abbreviation").alias("abbreviation"),
+    )
+    start = cut_lineage(start)
+    paths, rest = _climb(start)
+    linked = cut_lineage(linked)
+    if rest is not None:
+        cuts = cut_lineage(rest.where("name = peak").select("name", F.lit(True).alias("_cut")))
+        without = lambda df: df.join(cuts, "name", "left").withColumn("up", F.when(F.col("_cut").isNull(), F.col("up"))).drop("_cut")
+        start, linked = cut_lineage(without(start)), cut_lineage(without(linked))
+        paths, _ = _climb(start)
+    root_mark = abbreviate(F.lit(rules.root), rules)
+    own = linked.select(F.col("name").alias("up"), F.col("abbreviation").alias("_own_mark"))
+    labelled = cut_lineage(
+        _look_up(linked, own, "up").withColumn(
+            "executor", F.trim(F.concat_ws(" ", "full_name", F.coalesce("_mark", "_own_mark", root_mark)))
+        )
+    )
+    bosses = labelled.select(F.col("name").alias("up"), F.col("executor").alias("_own_boss"))
+    again = _look_up(labelled, bosses, "up").join(paths.withColumnRenamed("path", "id_prefix"), "name").select(
+        *columns, "id_prefix", "executor", F.coalesce("_boss", "_own_boss", F.lit(rules.root)).alias("parent_executor")
+    )
+    return stay.select(*columns, "id_prefix", "executor", "parent_executor").unionByName(again)
+
+
 def registry_rows(
     nodes: DataFrame, items: DataFrame, order: list[str], carry: list[str] = [], numbered: bool = False
 ) -> DataFrame:

@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from pyspark.sql import functions as F
 
 from lexroll.operators import hierarchy
@@ -62,3 +65,25 @@ def test_deep_chain(spark):
     paths = hierarchy.hierarchy_paths(nodes_of(spark, rows))
     assert paths.where("name = 'n69'").first()["id_prefix"].count("-") == 69
     assert hierarchy.find_cycles(nodes_of(spark, rows)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_changed_bodies_are_climbed_again(spark, seed):
+    draw = random.Random(seed)
+    names = [f"Центр {chr(1040 + i // 5)}{chr(1072 + i % 5)}" for i in range(40)]
+    rows = {n: (n, f"{n} полный", draw.choice([*names, None, None, "Вне списка"]), hierarchy_mark(n), "", 0, False, i, 0) for i, n in enumerate(names[:36])}
+    schema = "name string, full_name string, parent_name string, abbreviation string, level string, children long, conflict boolean, ord int, as_parent int"
+    frame = lambda found: spark.createDataFrame(list(found), schema)
+    known = hierarchy.hierarchy_paths(frame(rows.values()))
+    for _ in range(seed + 1):
+        changed = {}
+        for n in draw.sample(names, 5):  # some of them are new
+            changed[n] = (n, f"{n} иной", draw.choice([*names, None]), hierarchy_mark(n) + draw.choice(["", "X"]), "", 0, False, names.index(n), 0)
+        rows |= changed
+        known = hierarchy.update_paths(known, frame(changed.values()))
+        wanted = hierarchy.hierarchy_paths(frame(rows.values()))
+        assert sorted(map(tuple, known.collect())) == sorted(map(tuple, wanted.select(*known.columns).collect()))
+
+
+def hierarchy_mark(name):
+    return name.split()[1].upper()
