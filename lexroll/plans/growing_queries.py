@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexroll.functions import answers
-from lexroll.operators import hierarchy
+from lexroll.operators import hierarchy, sections as cut
 from lexroll.operators.closure import group_pairs, grow_groups
 from lexroll.operators.inference import embed, infer
 from lexroll.operators.lineage import run_folder, written
@@ -17,10 +17,11 @@ from lexroll.operators.store import Store
 from lexroll.plans.catalog import query, table
 from lexroll.plans.model_queries import DIGEST, TYPES, Answering, chosen
 from lexroll.plans.registry_queries import NAMES, PATHS, bodies
-from lexroll.plans.text_queries import ITEMS, judged
+from lexroll.plans.text_queries import CLEANING, ITEMS, RULES, judged
 from lexroll.plans.vector_queries import PAIRS, THRESHOLD, pairs_of, vectors
 from lexroll.plans.whole_stage_queries import Failing, digits, digits_of
 from lexroll.profile import GROUP_PREFIX, TYPE_LABELS
+from lexroll.streaming.arrivals import read_batches, take_batches, write_batch
 
 
 def reached(name: str, source: str) -> str:
@@ -157,3 +158,38 @@ def hierarchy_paths_changed(spark: SparkSession, folder: str) -> DataFrame:
     known = written(hierarchy.hierarchy_paths(before, NAMES))
     now = hierarchy.update_paths(known, nodes.where(moved), NAMES)
     return now.select("name", "id_prefix", "executor", "parent_executor")
+
+
+OFFICES = ["North Office", "South Office", ""]
+
+
+@query(
+    f"""WITH {ITEMS}, k AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, section_no ORDER BY idx) AS rn FROM sections), heads AS (
+  SELECT doc_id, section_no, string_agg(trim(line), chr(10) ORDER BY idx) AS prompt FROM k WHERE rn <= 150 GROUP BY ALL)
+SELECT doc_id, section_no, status.status, {chosen(OFFICES)} AS name FROM heads JOIN status USING (doc_id, section_no)"""
+)
+def sections_of_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that arrive in three files, each a micro-batch; their sections are cut and named, and one batch is repeated."""
+    docs, base = table(spark, folder, "documents").select("doc_id", "text"), f"{run_folder(spark)}/{uuid.uuid4().hex}"
+    for part in range(3):
+        docs.where(F.pmod("doc_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
+
+    def work(rows: DataFrame) -> DataFrame:
+        lines = rows.select("doc_id", cut.paragraphs_of(F.col("text")).alias("paragraphs"))
+        found = cut.with_items(cut.with_sections(lines, "paragraphs", RULES), RULES, CLEANING).withColumnRenamed("status", "item_status")
+        asked = found.select("doc_id", "section_no", "item_status", cut.context(F.col("paragraphs"), RULES).alias("prompt"))
+        named = infer(asked, "prompt", Answering("full_go_name", OFFICES))
+        name = answers.json_text(F.col("raw"), "full_go_name", fenced=True)
+        return named.select("doc_id", F.col("section_no").cast("long").alias("section_no"), F.col("item_status").alias("status"), name.alias("name"))
+
+    take_batches(spark, f"{base}/in", f"{base}/out", f"{base}/state", work, files=1).awaitTermination()
+    write_batch(work(docs.where(F.pmod("doc_id", F.lit(3)) == 1)), f"{base}/out", batch_of(spark, f"{base}/out", 1))
+    return read_batches(spark, f"{base}/out", "doc_id long, section_no long, status string, name string")
+
+
+def batch_of(spark: SparkSession, out: str, part: int) -> int:
+    """The number of the batch that took a part's documents."""
+    rows = spark.read.schema("doc_id long, batch long").parquet(out)
+    found = rows.where(F.pmod("doc_id", F.lit(3)) == part).agg(F.min("batch")).first()[0]
+    return 99 if found is None else found
