@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.llm.common import WORD, per_text, text_batches
 from lexroll.operators.lineage import broadcast_if_small, rows_up_to, written
-from lexroll.operators.ranks import row_numbers
+from lexroll.operators.ranks import running_totals
 
 MAX_ROWS = 6_000
 PAIRS = 60_000
@@ -126,8 +126,10 @@ def learn_quality(
 def _threshold(scored: DataFrame) -> float:
     """Midway between the scores on either side of the share of bad labels, from all rows (_good, worth)."""
     bad = scored.where("_good <> 1").count()
-    ranked = row_numbers(scored.select("worth"), [], ["worth"], "n")
-    return ranked.where(F.col("n").between(bad, bad + 1)).agg(F.avg("worth")).first()[0]
+    # Equal scores are one row with their number, so none of them can fill a task.
+    ranked = running_totals(scored.groupBy("worth").agg(F.count("*").alias("rows")), "worth", "rows", "upto")
+    below, above = ranked.agg(*[F.min(F.when(F.col("upto") >= n, F.col("worth"))) for n in (bad, bad + 1)]).first()
+    return below if above is None else (below + above) / 2
 
 
 def held_out(id_column: Column) -> Column:
