@@ -41,3 +41,17 @@ def test_stages_by_brute_force(spark):
     assert final.columns == [*columns, "n_tokens", "ids_sha256", "decoded_sha256"]
     whole = corpus_pipeline.run(spark, FOLDER)
     assert sorted(map(str, whole.collect())) == sorted(map(str, final.collect()))
+
+
+def test_clashing_columns(spark, odd_documents, no_documents):
+    tokens = dict(corpus_pipeline.STAGES)["tokens"]
+    docs = odd_documents.withColumn("N_tokens", odd_documents.source).withColumn("_tokens", odd_documents.text).withColumn("row", odd_documents.lang)
+    found = tokens(spark, docs, FOLDER)
+    assert found.columns == ["doc_id", "text", "source", "lang", "score", "kept", "_tokens", "row", "n_tokens", "ids_sha256", "decoded_sha256"]
+    assert sorted(map(str, found.select("doc_id", "text", "_tokens", "row").collect())) == sorted(
+        map(str, docs.select("doc_id", "text", "_tokens", "row").collect())
+    )
+    assert all(r["n_tokens"] == 0 for r in found.where("text IS NULL OR text = ''").collect())
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        assert stage(spark, docs, FOLDER).columns == docs.columns
+        assert stage(spark, no_documents, FOLDER).count() == 0
