@@ -22,9 +22,9 @@ from lexroll.operators.similar import (
     nearest,
 )
 from lexroll.plans.catalog import query, table
-from lexroll.profile import PAIR_THRESHOLD
 
 THRESHOLD = 0.3
+LOW_THRESHOLD = 0.42
 LIBRARY, EXAMPLES = 0, 1  # labels whose vectors serve as library and as labelled examples
 
 
@@ -100,13 +100,13 @@ def collision_candidates_cells(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(f"""WITH {VECTORS}
 SELECT a.id AS id_a, b.id AS id_b, round(list_cosine_similarity(a.e, b.e), 6) AS sim
-FROM v a JOIN v b ON a.id < b.id AND a.owner <> b.owner WHERE round(list_cosine_similarity(a.e, b.e), 9) >= {PAIR_THRESHOLD}""")
+FROM v a JOIN v b ON a.id < b.id AND a.owner <> b.owner WHERE round(list_cosine_similarity(a.e, b.e), 9) >= {LOW_THRESHOLD}""")
 def one_block_candidates(spark: SparkSession, folder: str) -> DataFrame:
-    """The default threshold, where angles prune little, and no block column that exists: all rows are one large block, in
-    which heads of the vectors settle nearly all pairs."""
+    """A threshold below the default, where angles prune little, and no block column that exists: all rows are one large
+    block, in which heads of the vectors settle most pairs."""
     rows = vectors(spark, folder)
     sizes = Sizes(tile=rows.count() // 3, max_pivots=4)
-    pairs = near_duplicate_pairs(rows, "vec_id", "embedding", "owner", ["sphere_3"], PAIR_THRESHOLD, sizes=sizes)
+    pairs = near_duplicate_pairs(rows, "vec_id", "embedding", "owner", ["sphere_3"], LOW_THRESHOLD, sizes=sizes)
     return pairs.withColumn("sim", F.round("sim", 6))
 
 
