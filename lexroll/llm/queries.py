@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lexroll.llm import alignment, bpe, decontaminate, divergence, licences, main_text, packing, quality_classifier, quality_rules, simhash, token_counts, transcripts, url_filter
 from lexroll.llm.common import per_text
-from lexroll.operators.lineage import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -237,12 +236,13 @@ def op9_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_transcripts(spark: SparkSession, folder: str) -> DataFrame:
     """Chat logs made of the conversations: the model is counted over all of them, then parses each."""
-    logs = written(transcripts.logs_of(table(spark, folder, "conversations")))
+    logs = transcripts.logs_of(table(spark, folder, "conversations"))
     model = transcripts.learn_model(logs)
-    right = per_text(lambda turns: transcripts.right_lines(turns, model), "struct<n_lines: bigint, n_right: bigint>")
-    parsed = logs.select(
-        "conv_id", "piece", "part", transcripts.parse(F.col("text"), model).alias("found"), right(F.col("turns")).alias("r")
-    )
+    logs = transcripts.carried(logs, model)
+    count = lambda p: transcripts.right_lines(p["turns"], model, p["enter"], p["leave"])
+    right = per_text(count, "struct<n_lines: bigint, n_right: bigint>")(F.struct("turns", "enter", "leave"))
+    found = transcripts.parse(F.col("text"), model, F.col("enter"), F.col("leave"))
+    parsed = logs.select("conv_id", "piece", "part", found.alias("found"), right.alias("r"))
     roles = F.array_join(F.transform("found", lambda t: t["role"]), ",")
     return parsed.select(
         "conv_id", "piece", "part", "r.*", F.size("found").cast("long").alias("n_turns"), roles.alias("roles"),

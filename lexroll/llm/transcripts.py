@@ -6,6 +6,9 @@ emission chances are counted over all transcripts with known roles, each count r
 finds the likeliest states; a turn begins wherever a first-line state stands.  Markers are cut off and turns
 rendered in one form.
 
+A long conversation is kept in pieces and parsed as one: the best scores through a piece are a small matrix, matrices of
+neighbours are joined step by step, and the states at the pieces' borders are handed back down (``carried``).
+
 Training counts are added up in the tasks and are some hundred numbers, whatever the input.
 
 Defined cases: null and empty transcripts have no turns; blank lines belong to the turn they stand in.  Of equal
@@ -25,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.llm.common import per_text, text_batches
-from lexroll.operators.lineage import written
+from lexroll.operators.lineage import broadcast_if_small, written
+from lexroll.operators.ranks import row_numbers
 
 ROLES = ("system", "user", "assistant")
 # Fixed: the words that name a speaker.
@@ -41,9 +45,10 @@ MARKER = re.compile(
 )
 STATES = 2 * len(ROLES)  # role i first: 2 i, further on: 2 i + 1
 LENGTHS = (0, 40, 120, 300, 700)
-# Turns in one transcript made from a table of turns; a longer conversation gives several.
+# Turn numbers in one piece of a conversation, and rows in one part of a piece.
 PIECE_TURNS = 256
-CROWDED = 4_096
+PART_ROWS = 512
+FAN = 64  # pieces whose scores are joined in a step
 
 
 def split_marker(line: str) -> tuple[str | None, str]:
@@ -71,23 +76,51 @@ class Model:
     move: np.ndarray
     shown: tuple[np.ndarray, ...]  # for each thing shown: states x values
 
-    def states(self, lines: list[str]) -> list[int]:
-        """The likeliest states of the lines of a transcript."""
+    def _emissions(self, lines: list[str]) -> np.ndarray:
+        seen = np.array([observe(line) for line in lines])
+        return sum(table[:, seen[:, i]].T for i, table in enumerate(self.shown))
+
+    def states(self, lines: list[str], enter: int | None = None, leave: int | None = None) -> list[int]:
+        """The likeliest states of the lines of a transcript, or of a piece after state ``enter`` that ends in ``leave``."""
         if not lines:
             return []
-        seen = np.array([observe(line) for line in lines])
-        emit = sum(table[:, seen[:, i]].T for i, table in enumerate(self.shown))
-        score, back = self.start + emit[0], []
+        emit = self._emissions(lines)
+        score, back = (self.start if enter is None else self.move[enter]) + emit[0], []
         for row in emit[1:]:
             ways = score[:, None] + self.move
             best = ways.argmax(0)
             back.append(best)
             score = ways[best, range(STATES)] + row
-        path = [int(score.argmax())]
+        path = [int(score.argmax()) if leave is None else leave]
         for best in reversed(back):
             path.append(int(best[path[-1]]))
         return path[::-1]
 
+    def ways(self, lines: list[str], first: bool) -> np.ndarray:
+        """The best scores of a piece from each state before it (rows; all alike for the first piece) to each at its end."""
+        emit = self._emissions(lines)
+        score = (np.repeat(self.start[None], STATES, 0) if first else self.move) + emit[0]
+        for row in emit[1:]:
+            score = joined(score, self.move) + row
+        return score
+
+
+def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Best scores over two pieces, one after the other."""
+    return (a[:, :, None] + b[None]).max(1)
+
+
+def borders(pieces: list[np.ndarray], enter: int, leave: int) -> list[tuple[int, int]]:
+    """The states before and at the end of each piece on the likeliest way from ``enter`` to ``leave``."""
+    scores = [pieces[0][enter]]
+    for piece in pieces[1:]:
+        scores.append((scores[-1][:, None] + piece).max(0))
+    ends = [leave]
+    for score, piece in zip(scores[-2::-1], pieces[:0:-1]):
+        ends.append(int((score + piece[:, ends[-1]]).argmax()))
+    ends = ends[::-1]
+    return list(zip([enter, *ends], ends))
+
 
 def model_from(counts: dict[tuple[str, int, int], int], weight: float = 0.5) -> Model:
     """The model of counts (kind, state, value) -> times; ``weight`` is added to each."""
@@ -110,21 +143,18 @@ def lines_of(text: str | None) -> list[str]:
     return text.split("\n") if text else []
 
 
-def turns_of(text: str | None, model: Model) -> list[tuple[str, str]]:
-    """(role, text) of the turns of one whole transcript."""
-    turns: list[tuple[str, list[str]]] = []
-    lines = lines_of(text)
-    for line, state in zip(lines, model.states(lines)):
-        if state % 2 == 0:
-            turns.append((ROLES[state // 2], []))
+def turns_of(text: str | None, model: Model, enter: int | None = None, leave: int | None = None) -> list[tuple[str, str, bool]]:
+    """(role, text, goes_on) of the turns of one whole transcript, or of a piece between two states; ``goes_on`` tells
+    that the turn began in the piece before."""
+    turns: list[tuple[str, list[str], bool]] = []
+    lines = lines_of(text) if enter is None else (text or "").split("\n")
+    for line, state in zip(lines, model.states(lines, enter, leave)):
+        if state % 2 == 0 or not turns:
+            turns.append((ROLES[state // 2], [], state % 2 == 1))
             role, rest = split_marker(line)
-            line = rest if role == ROLES[state // 2] else line
+            line = rest if role == ROLES[state // 2] and state % 2 == 0 else line
         turns[-1][1].append(line)
-    return [(role, "\n".join(own).strip()) for role, own in turns]
-
-
-def render(turns: list[tuple[str, str]]) -> str:
-    return "".join(f"<|{role}|>\n{text}\n" for role, text in turns)
+    return [(role, "\n".join(own).strip(), goes_on) for role, own, goes_on in turns]
 
 
 def known_states(turns: list[tuple[str, str]]) -> list[tuple[str, int]]:
@@ -136,8 +166,8 @@ def known_states(turns: list[tuple[str, str]]) -> list[tuple[str, int]]:
     return out
 
 
-def count_known(lines: list[tuple[str, int]], counts: Counter) -> None:
-    previous = None
+def count_known(lines: list[tuple[str, int]], counts: Counter, previous: int | None = None) -> None:
+    """Count what lines of known states show; ``previous`` is the state before them, if they are no start."""
     for line, state in lines:
         for kind, value in zip(("marker", "size", "asks"), observe(line)):
             counts[kind, state, value] += 1
@@ -148,30 +178,35 @@ def count_known(lines: list[tuple[str, int]], counts: Counter) -> None:
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
     for batch in batches:
-        for turns in batch.column(0):
-            count_known(known_states([(t["role"], t["shown"]) for t in turns.as_py()]), counts)
+        for turns, before in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            last = known_states([(before["role"], before["shown"])])[-1][1] if before else None
+            count_known(known_states([(t["role"], t["shown"]) for t in turns]), counts, last)
     keys = list(counts)
     columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.int32(), pa.int32()))]
     yield pa.RecordBatch.from_arrays([*columns, pa.array(counts.values(), pa.int64())], names=["kind", "i", "j", "n"])
 
 
-def learn_model(known: DataFrame, turns_col: str = "turns") -> Model:
-    """The model counted over all transcripts with known turns, arrays of (role, shown)."""
+def learn_model(known: DataFrame, turns_col: str = "turns", before_col: str = "before") -> Model:
+    """The model counted over all transcripts with known turns, arrays of (role, shown); ``before`` has the turn before."""
     text_batches(known.sparkSession)
-    counts = known.select(turns_col).mapInArrow(_counter, "kind string, i int, j int, n long")
+    before = F.col(before_col) if before_col in known.columns else F.lit(None).cast("struct<role: string, shown: string>")
+    counts = known.select(turns_col, before).mapInArrow(_counter, "kind string, i int, j int, n long")
     rows = counts.groupBy("kind", "i", "j").agg(F.sum("n").alias("n")).collect()  # as many as the tables have cells
     return model_from({(r["kind"], r["i"], r["j"]): r["n"] for r in rows})
 
 
-def parse(text: Column, model: Model) -> Column:
-    """The turns of a transcript: array of (role, text)."""
-    return per_text(lambda t: [{"role": r, "text": x} for r, x in turns_of(t, model)], "array<struct<role: string, text: string>>")(text)
+def parse(text: Column, model: Model, enter: Column | None = None, leave: Column | None = None) -> Column:
+    """The turns of a transcript: array of (role, text, goes_on)."""
+    nothing = F.lit(None).cast("int")
+    piece = F.struct(text.alias("text"), (nothing if enter is None else enter).alias("enter"), (nothing if leave is None else leave).alias("leave"))
+    found = lambda p: [{"role": r, "text": x, "goes_on": g} for r, x, g in turns_of(p["text"], model, p["enter"], p["leave"])]
+    return per_text(found, "array<struct<role: string, text: string, goes_on: boolean>>")(piece)
 
 
 def rendered(turns: Column) -> Column:
-    """Turns in one form: a line ``<|role|>``, then the text."""
-    each = F.transform(turns, lambda t: F.concat(F.lit("<|"), t["role"], F.lit("|>\n"), t["text"], F.lit("\n")))
-    return F.array_join(each, "")
+    """Turns in one form: a line ``<|role|>``, unless the turn goes on from the piece before, then the text."""
+    head = lambda t: F.when(t["goes_on"], "").otherwise(F.concat(F.lit("<|"), t["role"], F.lit("|>\n")))
+    return F.array_join(F.transform(turns, lambda t: F.concat(head(t), t["text"], F.lit("\n"))), "")
 
 
 def parse_transcripts(transcripts: DataFrame, model: Model, id_cols: tuple[str, ...] = ("conv_id",), text_col: str = "text") -> DataFrame:
@@ -185,24 +220,20 @@ def logs_of(conversations: DataFrame) -> DataFrame:
     """Chat logs (conv_id, piece, part, turns, text) of a table of turns (conv_id, turn, role, text).
 
     Each conversation is written in one of five styles, and a sixth of the turns after the first lack their
-    marker, by hashes of ids.  A log holds ``PIECE_TURNS`` turn numbers; rows that are equal count once; rows
-    without a conversation or turn number are logs of their own; where many different rows share a piece,
-    they are dealt to logs by a hash.  So no group grows with the table.  Roles unknown to the model are the
-    user's.
+    marker, by hashes of ids.  A conversation is one transcript, whatever its length, kept in pieces of ``PIECE_TURNS`` turn
+    numbers and parts of ``PART_ROWS`` rows in their order, so no row and no group grows with the table.  ``seq``
+    numbers a conversation's pieces, and ``before`` has the turn before a piece; ``carried`` hands states over.  Rows
+    without a conversation or turn number are logs of their own; repeated rows are kept, next to one another.
+    Roles unknown to the model are the user's.
     """
     role = F.when(F.col("role").isin(*ROLES), F.col("role")).otherwise("user")
-    rows = conversations.select("conv_id", "turn", role.alias("role"), F.coalesce("text", F.lit("")).alias("text")).distinct()
+    rows = conversations.select("conv_id", "turn", role.alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     alone = F.col("conv_id").isNull() | F.col("turn").isNull()
-    rows = rows.withColumn("piece", F.coalesce(F.floor(F.col("turn") / PIECE_TURNS), F.lit(0)))
-    own = F.xxhash64("turn", "role", "text")
-    crowded = written(
-        rows.where(~alone).groupBy("conv_id", "piece").agg(F.count("*").alias("n")).where(F.col("n") > CROWDED)
-    )
-    rows = rows.withColumn("part", F.when(alone, own).otherwise(F.lit(0).cast("long")))
-    if not crowded.isEmpty():
-        rows = rows.join(crowded, ["conv_id", "piece"], "left").withColumn(
-            "part", F.when(F.col("n").isNull(), F.col("part")).otherwise(F.pmod(own, F.ceil(F.col("n") / PIECE_TURNS)))
-        ).drop("n")
+    lost = rows.where(alone).withColumn("piece", F.coalesce(F.floor(F.col("turn") / PIECE_TURNS), F.lit(0)))
+    lost = lost.withColumn("part", F.xxhash64("turn", "role", "text"))
+    placed = rows.where(~alone).withColumn("piece", F.floor(F.col("turn") / PIECE_TURNS))
+    placed = row_numbers(placed, ["conv_id", "piece"], ["turn", "role", "text"], "n", 8 * PART_ROWS)
+    rows = placed.withColumn("part", F.floor((F.col("n") - 1) / PART_ROWS)).drop("n").unionByName(lost)
     style = F.pmod(F.xxhash64("conv_id"), F.lit(5))
     name = F.initcap("role")
     other = F.when(F.col("role") == "user", "Human").when(F.col("role") == "assistant", "AI").otherwise("System")
@@ -214,11 +245,61 @@ def logs_of(conversations: DataFrame) -> DataFrame:
     bare = (F.col("turn") > 0) & (F.pmod(F.xxhash64("conv_id", "turn"), F.lit(6)) == 0)
     shown = rows.withColumn("shown", F.when(F.coalesce(bare, F.lit(False)), F.col("text")).otherwise(F.concat(marker, "text")))
     logs = shown.groupBy("conv_id", "piece", "part").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "shown"))).alias("turns"))
-    return logs.withColumn("text", F.array_join(F.transform("turns", lambda t: t["shown"]), "\n"))
-
-
-def right_lines(turns: list[dict], model: Model) -> dict:
+    logs = written(logs.withColumn("text", F.array_join(F.transform("turns", lambda t: t["shown"]), "\n")))
+    alone = F.col("conv_id").isNull() | F.exists("turns", lambda t: t["turn"].isNull())
+    keys = logs.where(~alone).select("conv_id", "piece", "part", F.element_at("turns", -1).alias("last"))
+    numbered = written(row_numbers(keys, ["conv_id"], ["piece", "part"], "seq"))
+    before = F.struct(F.col("last.role").alias("role"), F.col("last.shown").alias("shown"))
+    ends = numbered.select("conv_id", (F.col("seq") + 1).alias("seq"), before.alias("before"))
+    known = numbered.drop("last").join(ends, ["conv_id", "seq"], "left")
+    return logs.join(known, ["conv_id", "piece", "part"], "left").withColumn("seq", F.coalesce("seq", F.lit(1)).cast("long"))
+
+
+def carried(logs: DataFrame, model: Model) -> DataFrame:
+    """``logs`` with the states ``enter`` before and ``leave`` at the end of each piece of a longer conversation.
+
+    The best scores through a piece, from each state before it to each at its end, are a small matrix; those of pieces one
+    after another are joined, ``FAN`` at a time, until one is left for the whole conversation.  Its likeliest end is then
+    handed down, step by step, to the borders of all pieces.  This is Viterbi's path over the whole; of equal paths
+    sums in another order may prefer another one.  Single pieces have no borders.
+    """
+    more = broadcast_if_small(written(logs.where("conv_id IS NOT NULL AND seq > 1").select("conv_id").distinct()))
+    pieces = logs.join(more, "conv_id", "left_semi")
+    through = lambda p: model.ways((p["text"] or "").split("\n"), p["seq"] == 1).ravel().tolist()
+    base = pieces.select("conv_id", (F.col("seq") - 1).alias("k"), per_text(through, "array<double>")(F.struct("text", "seq")).alias("m"))
+    square = lambda m: np.array(m).reshape(STATES, STATES)
+
+    def join_all(found: list) -> list[float]:
+        whole = square(found[0])
+        for m in found[1:]:
+            whole = joined(whole, square(m))
+        return whole.ravel().tolist()
+
+    levels = []
+    level = written(base)
+    while (level.agg(F.max("k")).first()[0] or 0) > 0:
+        up = F.floor(F.col("k") / FAN).alias("k")
+        own = level.groupBy("conv_id", up).agg(F.sort_array(F.collect_list(F.struct("k", "m"))).alias("found"))
+        own = written(own.select("conv_id", "k", F.transform("found", lambda f: f["m"]).alias("found")))
+        levels.append(own)
+        level = written(own.select("conv_id", "k", per_text(join_all, "array<double>")(F.col("found")).alias("m")))
+    if not levels:
+        return logs.withColumn("enter", F.lit(None).cast("int")).withColumn("leave", F.lit(None).cast("int"))
+    # The first piece does not look at the state before it, so any will do.
+    leave = per_text(lambda m: int(square(m)[0].argmax()), "int")(F.col("m"))
+    known = level.select("conv_id", "k", F.lit(0).alias("enter"), leave.alias("leave"))
+    split = lambda p: [{"enter": a, "leave": b} for a, b in borders([square(m) for m in p["found"]], p["enter"], p["leave"])]
+    for own in reversed(levels):
+        asked = own.join(known, ["conv_id", "k"])
+        ends = per_text(split, "array<struct<enter: int, leave: int>>")(F.struct("found", "enter", "leave"))
+        handed = asked.select("conv_id", (F.col("k") * FAN).alias("k"), F.posexplode(ends).alias("i", "b"))
+        known = written(handed.select("conv_id", (F.col("k") + F.col("i")).alias("k"), "b.enter", "b.leave"))
+    found = known.select("conv_id", (F.col("k") + 1).alias("seq"), "enter", "leave")
+    return logs.join(found, ["conv_id", "seq"], "left")
+
+
+def right_lines(turns: list[dict], model: Model, enter: int | None = None, leave: int | None = None) -> dict:
     """Of the lines of known turns, how many there are and how many the model gives their role."""
     lines = known_states([(t["role"], t["shown"]) for t in turns or []])
-    found = model.states([line for line, _ in lines])
+    found = model.states([line for line, _ in lines], enter, leave)
     return {"n_lines": len(lines), "n_right": sum(a // 2 == b // 2 for a, (_, b) in zip(found, lines))}

@@ -151,6 +151,33 @@ def test_transcripts(spark):
     assert len(t.turns_of("hello", t.learn_model(t.logs_of(table.limit(0))))) == 1
 
 
+@pytest.mark.parametrize("fan", [64, 2])
+def test_long_conversations_are_parsed_as_one(spark, monkeypatch, fan):
+    monkeypatch.setattr(t, "PIECE_TURNS", 50)
+    monkeypatch.setattr(t, "PART_ROWS", 20)
+    monkeypatch.setattr(t, "FAN", fan)
+    draw = random.Random(2)
+    rows = [(c, k, "user" if k % 2 == 0 else "assistant", " ".join(draw.choices(["so", "is", "it?", "long " * 20, "ok.\nthen"], k=4))) for c, n in ((1, 600), (2, 3), (3, 120)) for k in range(n)]
+    rows += [(3, 60, "user", "again and again")] * 70
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    logs = t.logs_of(table)
+    assert logs.agg(F.sum(F.size("turns"))).first()[0] == len(rows)  # repeated rows are kept
+    model = t.learn_model(logs)
+    whole = {}
+    for r in logs.orderBy("conv_id", "piece", "part").collect():
+        whole.setdefault(r["conv_id"], []).extend((x["role"], x["shown"]) for x in r["turns"])
+    counts = t.Counter()
+    for turns in whole.values():
+        t.count_known(t.known_states(turns), counts)
+    once = t.model_from(counts)
+    assert all(t.np.allclose(a, b) for a, b in zip((once.start, once.move, *once.shown), (model.start, model.move, *model.shown)))
+    got = {}
+    for r in t.carried(logs, model).orderBy("conv_id", "piece", "part").collect():
+        got.setdefault(r["conv_id"], []).extend(model.states(r["text"].split("\n"), r["enter"], r["leave"]))
+    assert got == {c: model.states([line for line, _ in t.known_states(turns)]) for c, turns in whole.items()}
+    assert any(t.turns_of(r["text"], model, r["enter"], r["leave"])[0][2] for r in t.carried(logs, model).where("enter IS NOT NULL").collect())
+
+
 def test_licences(spark):
     mit, gpl = "Released under the MIT License.", "This work is licensed under the GNU General Public License, version 3."
     rows = [
