@@ -11,7 +11,9 @@ meet their documents in place; the others meet in a shuffle, where no key has mo
 pair of the broadcast.
 
 Encoding: texts with single blanks between words are cut before each blank, where neither tokenizer has a token across,
-and the ids of a run are kept; other texts go to the libraries whole.
+and the ids of a run are kept; other texts are encoded whole.  The byte-level vocabulary is run by an encoder that
+joins neighbours in the order of the joint tokens' ids, which is the order of its merges; all of its tokens can be
+reached by its merges, and tests hold the ids against the file's own library.
 
 Defined cases: null, empty and not faithfully tokenised texts (bytes of the tokens differ from space + text) have no
 tokens: zeros and an empty ``groups_sha256``.  Repeated rows are documents of their own.  Ties for the best pair of an id
@@ -24,25 +26,29 @@ from __future__ import annotations
 import hashlib
 import re
 import struct
-from collections import Counter
-
+from itertools import chain
 import numpy as np
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexroll.llm.bpe import SPLIT, byte_letters
-from lexroll.llm.common import PLAIN, per_text, share, shared, text_batches
+from lexroll.llm.bpe import byte_letters
+from lexroll.llm.common import per_texts, share, shared, text_batches
 from lexroll.operators.lineage import written
 
 SPACE = "▁"
-KEPT_RUNS = 150_000
-KEPT_WORDS = 150_000
-KEPT_WINDOWS = 150_000
+KEPT_RUNS = 300_000
+JOINED_RUNS = 64
+KEPT_WINDOWS = 200_000
 LONG_RUN = 64
 MANY_LINKS = 1024  # from here on a window's links are kept as different pairs with their numbers
 PAIR_ROWS = 500_000
+# Marks in a stream of ids: four equal bytes, which ids under 2^20 cannot show, not even across their limits.
+BETWEEN_ID, AFTER_ID = 0xFDFDFDFD, 0xFFFFFFFF
+BETWEEN, AFTER = struct.pack("<I", BETWEEN_ID), struct.pack("<I", AFTER_ID)
 SHIFT = 20  # a pair of ids is one number, the second in the low bits
 
+# Fixed: how the first vocabulary's library splits a text.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 UNEVEN = re.compile(r" (?:\s|\Z)|\A ")
 BYTE_PIECE = re.compile("<0x([0-9A-F]{2})>")
 
@@ -59,33 +65,6 @@ class Side:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-class Window:
-    """What the ids of a window say: its groups as text, their number, the links and their number."""
-
-    __slots__ = ("groups", "n_groups", "n_links", "links", "times")
-
-    def __init__(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]) -> None:
-        texts, small, many = [], [], []
-        self.n_links = i = j = 0
-        stops = {e: k + 1 for k, e in enumerate(ends_b)}
-        for k, end in enumerate(ends_a):
-            stop = stops.get(end)
-            if stop is not None:
-                left, right = a[i : k + 1], b[j:stop]
-                texts.append(",".join(map(str, left)) + "|" + ",".join(map(str, right)))
-                self.n_links += len(left) * len(right)
-                if len(left) * len(right) < MANY_LINKS:
-                    small += [x << SHIFT | y for x in left for y in right]
-                else:
-                    many.append(_product(left, right))
-                i, j = k + 1, stop
-        self.groups, self.n_groups = ";".join(texts), len(texts)
-        self.links, self.times = struct.pack(f"<{len(small)}q", *small), None
-        if many:
-            many.append((np.array(small, np.int64), np.ones(len(small), np.int64)))
-            self.links, self.times = _added(many)
-
-
 def _product(left: list[int], right: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """Different pairs of two lists and how often each occurs."""
     (a, n), (b, m) = (np.unique(np.array(x, np.int64), return_counts=True) for x in (left, right))
@@ -109,6 +88,7 @@ class Aligner:
 
     def open(self) -> None:
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         first = Tokenizer.from_str(self.first)
@@ -126,97 +106,198 @@ class Aligner:
         self.b = Side([_piece_bytes(p, second.is_byte(i)) for i, p in enumerate(pieces)])
         # A piece with a space after a letter would cross the runs.
         self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self.letters = {b: c for c, b in letters.items()}
-        self.runs: dict[str, tuple[bytes, bytes, bool]] = {}
-        self.words: dict[str, list[int]] = {}
-        self.windows: dict[tuple[bytes, bytes], Window] = {}
+        # The same vocabulary for a quicker encoder: ids of its tokens go by the order of their merges.
+        ranks = {token: i for i, token in enumerate(tokens) if first.id_to_token(i) not in special}
+        self.quick = tiktoken.Encoding("first", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_ordinary
+        self.runs: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}
+        self.lossy: set[str] = set()
+        self.windows = Windows(self.a, self.b)
         self.parts = first, second
 
-    def _first_ids(self, run: str) -> list[int]:
-        """Ids of a blank and the run, under the first tokenizer."""
-        first = self.parts[0]
-        if not PLAIN.fullmatch(run):
-            return first.encode(" " + run, add_special_tokens=False).ids
-        out, kept, spell = [], self.words, first.model.tokenize
-        for word in SPLIT.findall(" " + run):
-            ids = kept.get(word)
-            if ids is None:
-                ids = [t.id for t in spell(word.encode().decode("latin-1").translate(self.letters))]
-                if len(word) <= LONG_RUN:
-                    if len(kept) >= KEPT_WORDS:
-                        kept.clear()
-                    kept[word] = ids
-            out += ids
-        return out
+    def _faithful(self, text: str, a: list[int], b: list[int]) -> bool:
+        wanted = b" " + text.encode()
+        return self.a.text(a) == wanted and self.b.text(b) == wanted
 
-    def encode(self, text: str) -> tuple[bytes, bytes, bool]:
-        """Both sides' ids of a whole text, four bytes each, and whether all bytes are those of space + text."""
-        if UNEVEN.search(text) or not self.apart:
-            a, b = self.parts[0].encode(" " + text, add_special_tokens=False).ids, self.parts[1].encode(text, num_threads=1)
-            return _four(a), _four(b), self._faithful(text, a, b)
-        runs, kept = text.split(" "), self.runs
-        new = set(runs).difference(kept)
-        if new:
-            if len(kept) + len(new) > KEPT_RUNS:
-                kept.clear()
-                new = set(runs)
-            new = list(new)
-            for run, b in zip(new, self.parts[1].encode(new, num_threads=1)):
-                a = self._first_ids(run)
-                kept[run] = _four(a), _four(b), self._faithful(run, a, b)
-        found = [*map(kept.__getitem__, runs)]
+    def _learn(self, runs: list[str]) -> None:
+        """Encode new runs, many in a text; each begins with a space and holds no other."""
+        if not runs:
+            return
+        joined = [" ".join(runs[at : at + JOINED_RUNS]) for at in range(0, len(runs), JOINED_RUNS)]
+        ids = [chain.from_iterable(map(self.quick, [" " + t for t in joined])), chain.from_iterable(self.parts[1].encode(joined, num_threads=1))]
+        ids = [np.fromiter(x, np.int64) for x in ids]
+        starts = [np.flatnonzero(side.spaced[x]) for side, x in zip((self.a, self.b), ids)]
+        spelt = [(" " + r).encode() for r in runs]
+        sizes = list(map(len, spelt))
+        sure = all(len(at) == len(runs) for at in starts) and all(
+            side.text(x.tolist()) == b"".join(spelt) and np.add.reduceat(side.sizes[x], at).tolist() == sizes
+            for side, x, at in zip((self.a, self.b), ids, starts)
+        )
+        if sure:
+            for kept, x, at in zip(self.runs, ids, starts):
+                raw, limits = x.astype("<u4").tobytes(), [*(4 * at).tolist(), 4 * x.size]
+                kept.update((r, raw[low:high]) for r, low, high in zip(runs, limits, limits[1:]))
+            return
+        if len(runs) > JOINED_RUNS:  # look for the odd one
+            self._learn(runs[: len(runs) // 2])
+            self._learn(runs[len(runs) // 2 :])
+            return
+        for run, b in zip(runs, self.parts[1].encode(runs, num_threads=1)):
+            a = self.quick(" " + run)
+            self.runs[0][run], self.runs[1][run] = _four(a), _four(b)
+            if not self._faithful(run, a, b):
+                self.lossy.add(run)
+
+    def encode(self, texts: list[str | None]) -> list[tuple[bytes, bytes] | None]:
+        """Both sides' ids of whole texts, four bytes each; None without tokens that spell the text."""
+        second, (first_of_run, second_of_run) = self.parts[1], self.runs
+        split = [t.split(" ") if t and self.apart and not UNEVEN.search(t) else None for t in texts]
+        every = set().union(*filter(None, split))
+        new = every.difference(first_of_run)
+        if len(first_of_run) + len(new) > KEPT_RUNS:
+            first_of_run.clear(), second_of_run.clear(), self.lossy.clear()
+            new = every
+        new = list(new)
+        self._learn(new)
+        out: list[tuple[bytes, bytes] | None] = []
+        for text, runs in zip(texts, split):
+            if not text:
+                out.append(None)
+                continue
+            if runs is None:
+                a, b = self.quick(" " + text), second.encode(text, num_threads=1)
+                found, sure = (_four(a), _four(b)), self._faithful(text, a, b)
+            else:
+                found = tuple(b"".join(map(kept.__getitem__, runs)) for kept in self.runs)
+                sure = self.lossy.isdisjoint(runs) or self._faithful(text, *(np.frombuffer(x, "<u4").tolist() for x in found))
+            out.append(found if sure else None)
         for run in new:
             if len(run) > LONG_RUN:
-                del kept[run]
-        a, b, same = zip(*found)
-        a, b = b"".join(a), b"".join(b)
-        return a, b, all(same) or self._faithful(text, np.frombuffer(a, "<u4").tolist(), np.frombuffer(b, "<u4").tolist())
-
-    def _faithful(self, run: str, a: list[int], b: list[int]) -> bool:
-        wanted = b" " + run.encode()
-        return self.a.text(a) == wanted and self.b.text(b) == wanted
+                del first_of_run[run], second_of_run[run]
+        return out
 
-    def _windows(self, raw_a: bytes, raw_b: bytes) -> list[Window]:
-        a, b = np.frombuffer(raw_a, "<u4"), np.frombuffer(raw_b, "<u4")
+    def align(self, texts: list[str | None]) -> list[dict]:
+        if self.parts is None:
+            self.open()
+        encoded = self.encode(texts)
+        found = iter(self.windows.align([e for e in encoded if e is not None]))
+        nothing = {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": [], "times": []}
+        return [nothing if e is None else next(found) for e in encoded]
+
+
+class Windows:
+    """Alignments of windows, kept by the ids of both sides; windows not met before are aligned many at a time."""
+
+    def __init__(self, a: Side, b: Side) -> None:
+        self.a, self.b = a, b
+        # An id inside a group and at the end of its side.
+        self.words = [f"{i}{c}" for i in range(len(a.tokens)) for c in ",|"] + [f"{i}{c}" for i in range(len(b.tokens)) for c in ",;"]
+        self.clear()
+
+    def clear(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.groups: list[str] = []
+        self.facts = np.zeros((4, 0), np.int64)  # groups, links, first of the links kept, their number
+        self.links = np.zeros(0, np.int64)
+        self.many: dict[int, list] = {}  # links of large groups: different pairs with their numbers
+        self.stale = False
+
+    def _keys(self, a: np.ndarray, b: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        """For each window between anchors the ids of both sides in bytes, and the place of its last first-side token."""
         ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
         place = np.searchsorted(ends_b, ends_a)
         anchor = ends_b[place] == ends_a
         anchor[:-1] &= self.a.spaced[a[1:]] & np.append(self.b.spaced[b], False)[place[:-1] + 1]
         last_a = np.flatnonzero(anchor)
-        cuts_a, cuts_b = [0, *(last_a + 1).tolist()], [0, *(place[last_a] + 1).tolist()]
-        kept, out = self.windows, []
-        for i, to_i, j, to_j in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:]):
-            key = raw_a[4 * i : 4 * to_i], raw_b[4 * j : 4 * to_j]
-            window = kept.get(key)
-            if window is None:
-                window = Window(*(x.tolist() for x in (a[i:to_i], b[j:to_j], ends_a[i:to_i], ends_b[j:to_j])))
-                if to_i - i <= LONG_RUN:
-                    if len(kept) >= KEPT_WINDOWS:
-                        kept.clear()
-                    kept[key] = window
-            out.append(window)
+        last_b = place[last_a]
+        # Each window's ids of the first side, a mark, its ids of the second side, another mark.
+        stream = np.empty(a.size + b.size + 2 * last_a.size, "<u4")
+        before_a, before_b = (np.concatenate([[0], last[:-1] + 1]) for last in (last_a, last_b))
+        count_a, count_b = last_a + 1 - before_a, last_b + 1 - before_b
+        number = np.arange(last_a.size)
+        stream[np.arange(a.size) + np.repeat(before_b + 2 * number, count_a)] = a
+        stream[np.arange(b.size) + np.repeat(last_a + 1 + 2 * number + 1, count_b)] = b
+        stream[last_a + 1 + before_b + 2 * number] = BETWEEN_ID
+        stream[last_a + 1 + last_b + 1 + 2 * number + 1] = AFTER_ID
+        return stream[:-1].tobytes().split(AFTER), last_a
+
+    def _learn(self, keys: list[bytes]) -> None:
+        sides = [k.split(BETWEEN) for k in keys]
+        a, b = (np.frombuffer(b"".join([s[k] for s in sides]), "<u4").astype(np.int64) for k in (0, 1))
+        stop_a, stop_b = (np.cumsum([len(s[k]) // 4 for s in sides]) for k in (0, 1))
+        # Groups: from one shared end to the next.  A window ends with one.
+        ends_a, ends_b = np.cumsum(self.a.sizes[a]), np.cumsum(self.b.sizes[b])
+        place = np.searchsorted(ends_b, ends_a)
+        last_a = np.flatnonzero(ends_b[place] == ends_a)
+        last_b = place[last_a]
+        first_a, first_b = (np.concatenate([[0], last[:-1] + 1]) for last in (last_a, last_b))
+        count_a, count_b = last_a + 1 - first_a, last_b + 1 - first_b
+        # The ids of a group's first side and then of its second, as texts with what follows them.
+        codes = np.empty(a.size + b.size, np.int64)
+        closing_a, closing_b = np.zeros(a.size, np.int64), np.zeros(b.size, np.int64)
+        closing_a[last_a] = closing_b[last_b] = 1
+        codes[np.arange(a.size) + np.repeat(first_b, count_a)] = 2 * a + closing_a
+        codes[np.arange(b.size) + np.repeat(last_a + 1, count_b)] = 2 * (len(self.a.tokens) + b) + closing_b
+        words = list(map(self.words.__getitem__, codes.tolist()))
+        limits = [0, *(stop_a + stop_b).tolist()]
+        self.groups += ["".join(words[low:high])[:-1] for low, high in zip(limits, limits[1:])]
+        # All pairs of a group.
+        pairs = count_a * count_b
+        kept = np.where(pairs < MANY_LINKS, pairs, 0)
+        group = np.repeat(np.arange(kept.size), kept)
+        inner = np.arange(group.size) - np.repeat(np.cumsum(kept) - kept, kept)
+        links = a[first_a[group] + inner // count_b[group]] << SHIFT | b[first_b[group] + inner % count_b[group]]
+        # Each window's groups are a run of them.
+        first = np.searchsorted(last_a, np.concatenate([[0], stop_a[:-1]]))
+        sizes = np.add.reduceat(kept, first)
+        start = self.links.size + np.cumsum(sizes) - sizes
+        base = len(self.numbers)
+        self.facts = np.concatenate([self.facts, np.stack([np.diff(first, append=last_a.size), np.add.reduceat(pairs, first), start, sizes])], 1)
+        self.links = np.concatenate([self.links, links])
+        for g in np.flatnonzero(pairs >= MANY_LINKS).tolist():
+            window = base + int(np.searchsorted(first, g, "right")) - 1
+            left, right = a[first_a[g] : last_a[g] + 1], b[first_b[g] : last_b[g] + 1]
+            self.many.setdefault(window, []).append(_product(left, right))
+        self.numbers.update(zip(keys, range(base, base + len(keys))))
+
+    def align(self, texts: list[tuple[bytes, bytes]]) -> list[dict]:
+        """The alignments of texts given by both sides' ids; their tokens spell the same bytes."""
+        if not texts:
+            return []
+        a, b = (np.frombuffer(b"".join([t[k] for t in texts]), "<u4").astype(np.int64) for k in (0, 1))
+        count_a, count_b = (np.array([len(t[k]) // 4 for t in texts]) for k in (0, 1))
+        # Texts begin with a space on both sides, so their limits are anchors and no window spans two.
+        keys, last_a = self._keys(a, b)
+        new = set(keys).difference(self.numbers)
+        if self.stale or len(self.numbers) + len(new) > KEPT_WINDOWS:
+            self.clear()
+            new = set(keys)
+        if new:
+            self._learn(list(new))
+            self.stale = max(map(len, new)) > 1024 * LONG_RUN
+        windows = np.fromiter(map(self.numbers.__getitem__, keys), np.int64, len(keys))
+        stop = np.searchsorted(last_a, np.cumsum(count_a))
+        start = np.concatenate([[0], stop[:-1]])
+        n_groups, n_links, first, sizes = self.facts[:, windows]
+        # Links of all texts, each with its text's number in the high bits.
+        owner = np.repeat(np.repeat(np.arange(len(texts)), stop - start), sizes)
+        at = np.arange(owner.size) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(first, sizes)
+        found, times = np.unique(owner << 2 * SHIFT | self.links[at], return_counts=True)
+        cut = np.searchsorted(found, np.arange(len(texts) + 1) << 2 * SHIFT).tolist()
+        pairs = found & (1 << 2 * SHIFT) - 1
+        sums = [np.add.reduceat(x, start).tolist() for x in (n_groups, n_links)]
+        numbers, out = windows.tolist(), []
+        for k, (low, high) in enumerate(zip(start.tolist(), stop.tolist())):
+            own, often = pairs[cut[k] : cut[k + 1]], times[cut[k] : cut[k + 1]]
+            many = [m for w in numbers[low:high] if w in self.many for m in self.many[w]] if self.many else []
+            if many:
+                own, often = _added([(own, often), *many])
+            said = ";".join(map(self.groups.__getitem__, numbers[low:high]))
+            out.append({
+                "n_a": int(count_a[k]), "n_b": int(count_b[k]), "n_groups": sums[0][k], "n_links": sums[1][k],
+                "groups_sha256": hashlib.sha256(said.encode()).hexdigest(), "pairs": own, "times": often,
+            })
         return out
 
-    def align(self, text: str | None) -> dict:
-        if self.parts is None:
-            self.open()
-        a, b, faithful = self.encode(text) if text else (b"", b"", False)
-        if not faithful:
-            return {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "", "pairs": [], "times": []}
-        windows = self._windows(a, b)
-        pairs, times = np.unique(
-            np.frombuffer(b"".join([w.links for w in windows if w.times is None]), "<i8"), return_counts=True
-        )
-        many = [(w.links, w.times) for w in windows if w.times is not None]
-        if many:
-            pairs, times = _added([(pairs, times), *many])
-        return {
-            "n_a": len(a) // 4, "n_b": len(b) // 4, "n_groups": sum([w.n_groups for w in windows]),
-            "n_links": sum([w.n_links for w in windows]),
-            "groups_sha256": hashlib.sha256(";".join([w.groups for w in windows]).encode()).hexdigest(),
-            "pairs": pairs, "times": times,
-        }
-
 
 def _four(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
@@ -243,7 +324,7 @@ def aligned(docs: DataFrame, aligner: Broadcast, id_col: str = "doc_id", text_co
     """(row, doc_id, n_a, n_b, n_groups, n_links, groups_sha256, pairs, times): different linked pairs of ids, as one number
     each (``first_of``, ``second_of``), with their numbers of links."""
     text_batches(docs.sparkSession)
-    found = per_text(lambda t: shared(Aligner, aligner).align(t), ALIGNED)
+    found = per_texts(lambda texts: shared(Aligner, aligner).align(texts), ALIGNED)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("doc_id"), found(F.col(text_col)).alias("d"))
     return rows.select("row", "doc_id", "d.*")
 

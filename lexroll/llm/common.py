@@ -61,7 +61,7 @@ def per_text(function: Callable[[str | None], Any], returns: DataType | str) ->
 
 
 def per_texts(
-    function: Callable[[list[str | None]], list], returns: DataType | str, letters: int = 1 << 20
+    function: Callable[[list[str | None]], list], returns: DataType | str, letters: int = 1 << 18
 ) -> Callable[[Column], Column]:
     """The same for a function of several texts at once: those of about ``letters`` letters together, or a longer one."""
 

@@ -111,13 +111,17 @@ def test_query(spark, libraries):
     assert got == [(d["doc_id"], *r) for d, r in zip(docs, brute([d["text"] for d in docs], libraries))]
 
 
-def test_large_group_in_bounded_memory(monkeypatch):
-    monkeypatch.setattr(alignment, "MANY_LINKS", 4)
-    a, b = [1, 2, 1, 3], [7, 8, 7]
-    window = alignment.Window(a, b, [1, 2, 3, 6], [2, 5, 6])
-    plain = Counter((x, y) for left, right in (([1, 2], [7]), ([1, 3], [8, 7])) for x in left for y in right)
-    assert dict(zip(window.links.tolist(), window.times.tolist())) == {x << alignment.SHIFT | y: n for (x, y), n in plain.items()}
-    assert (window.groups, window.n_groups, window.n_links) == ("1,2|7;1,3|8,7", 2, 6)
+def test_large_groups_and_few_kept_windows(libraries, monkeypatch):
+    """Groups whose pairs are added up, and windows forgotten again and again, change nothing."""
+    texts = [t for t in ODD if t] + ["=" * 37 + "x" * 41 + "日本" * 9, "a b c d e f", "b c"]
+    whole = alignment.Aligner(open(FILES[0], encoding="utf-8").read(), open(FILES[1], "rb").read())
+    listed = lambda found: [{k: v if isinstance(v, (int, str)) else list(v) for k, v in r.items()} for r in found]
+    wanted = listed(whole.align(texts))
+    monkeypatch.setattr(alignment, "MANY_LINKS", 2)
+    monkeypatch.setattr(alignment, "KEPT_WINDOWS", 5)
+    monkeypatch.setattr(alignment, "KEPT_RUNS", 3)
+    small = alignment.Aligner(whole.first, whole.second)
+    assert listed([r for t in texts for r in small.align([t])]) == listed(small.align(texts)) == wanted
 
 
 def test_tables_of_other_shapes(spark, aligner, odd_documents, no_documents):
