@@ -39,9 +39,10 @@ from lexroll.llm.common import per_text, per_texts, share, shared, text_batches
 # (letters, digits and other characters, each with a blank before; white space), in the terms of ``re``.
 SPLIT = re.compile(r" ?[^\W\d_]+| ?\d+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
 # Entries that a Python worker keeps of its words and transitions; both can be worked out again.
-KEPT_WORDS = 150_000
-KEPT_PAIRS = 500_000
+KEPT_WORDS = 50_000
+KEPT_PAIRS = 250_000
 LONG_WORD = 60  # letters, of four bytes at most
+LETTERS = 1 << 17  # of texts run together
 START = END = -1
 ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 
@@ -382,7 +383,7 @@ def decode(ids: Column, automaton: Broadcast) -> Column:
 
 def digest(text: Column, automaton: Broadcast) -> Column:
     kind = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
-    return per_texts(lambda texts: shared(Automaton, automaton).digests(texts), kind)(text)
+    return per_texts(lambda texts: shared(Automaton, automaton).digests(texts), kind, LETTERS)(text)
 
 
 def token_digests(docs: DataFrame, automaton: Broadcast, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
