@@ -44,8 +44,10 @@ def draw_vectors(df: DataFrame, id_col: str, vec_col: str, count: int) -> np.nda
 
 def pick_pivots(df: DataFrame, id_col: str, vec_col: str, most: int, least: int, reach: float, draw: int) -> np.ndarray:
     """``most`` pivots, or ``least`` where angles tell cells apart too poorly to skip half
-    of them, since each cell that is visited costs a copy of the row."""
+    of them, since each cell that is visited costs a copy of the row.  Without rows there are none."""
     drawn = draw_vectors(df, id_col, vec_col, max(draw, most))
+    if not len(drawn):
+        return drawn
     pivots = drawn[:most]
     away = angles(drawn, pivots)
     home = np.argmin(away, axis=1)

@@ -246,6 +246,8 @@ def _pair_classes(classes: DataFrame, largest: int, threshold: float, sizes: Siz
     least, most = (int(min(sizes.max_pivots, max(2, n))) for n in (parts, 4 * parts))
     angle = _angle(threshold)
     pivots = pick_pivots(classes, "id", "vec", most, least, angle, sizes.sample)
+    if not len(pivots):  # blocks may be counted on more rows than are left to pair
+        return classes.sparkSession.createDataFrame([], PAIR_SCHEMA)
     prefix = pick_prefix(draw_vectors(classes, "id", "vec", min(sizes.sample, 1024)), threshold)
     assigned, cells = build_cells(classes, "vec", pivots)
     reach = F.lit(angle)

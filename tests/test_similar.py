@@ -212,3 +212,8 @@ def test_low_threshold_in_one_large_block(spark):
     found = similar.near_duplicate_pairs(frame(spark, rows), "id", "vec", "owner", ["none"], 0.5, sizes=Sizes(tile=100, max_pivots=4))
     got = {(r["id_a"], r["id_b"]) for r in found.collect()}
     assert got == brute_pairs(rows, 0.5) and len(got) > 40
+
+
+def test_large_blocks_that_the_boilerplate_filter_empties(spark):
+    counted = frame(spark, random_rows(n=60)).withColumn("block", F.lit("x"))
+    assert pairs(counted.where("id < ''"), 0.8, Sizes(tile=20, max_pivots=4), counted=counted) == set()
