@@ -17,6 +17,7 @@ from lexroll.operators.closure import group_pairs, write_back
 from lexroll.operators.inference import Encoder, Model, embed, infer
 from lexroll.operators.lineage import broadcast_if_small, cut_lineage
 from lexroll.operators.ranks import row_numbers
+from lexroll.operators.skew import join_to_keys
 from lexroll.profile import (
     ATTEMPTS,
     BOILERPLATE_THRESHOLD,
@@ -96,24 +97,31 @@ def classify(
         registry = registry.withColumn("true_type", F.nullif("true_type", F.lit(rules.undefined)))
     todo, done = stage.split_pending(registry, "true_type")
     todo = todo.drop("true_type", "final_label", "labeled_by", "type_status")
-    hints = todo.select("row_ord", F.array().cast("array<string>").alias("hints"))
+    # Rows with equal texts share hints, prompt and answer, so all of these are worked out once a text.
+    keyed = todo.withColumn("_text", F.sha2(F.coalesce("function_text", F.lit("")), 256))
+    texts = cut_lineage(
+        keyed.groupBy("_text").agg(F.first(F.coalesce("function_text", F.lit(""))).alias("function_text"), F.count("*").alias("_same"))
+    )
+    hints = texts.select("_text", F.array().cast("array<string>").alias("hints"))
     if examples is not None and encode is not None:
-        vectors = embed(todo.select("row_ord", "function_text"), "function_text", encode)
-        library = embed(examples, "ref_text", encode).withColumn("ref_id", F.xxhash64("ref_text", "ref_label")).dropDuplicates(["ref_id"])
-        hits = similar.nearest(vectors, library, k, "row_ord", "embedding", "ref_id", "embedding", threshold)
-        hints = labels.hint_sets(hits.join(library.select("ref_id", "ref_label"), "ref_id"), "row_ord", "ref_label")
-    asked = labels.type_prompts(todo, hints, "row_ord", template)
-    asked = asked.withColumn("prompt", F.concat_ws("\n\n", "prompt", F.coalesce("function_text", F.lit(""))))
+        vectors = embed(texts.select("_text", "function_text"), "function_text", encode)
+        # of equally near examples the first labels count
+        name = F.concat(F.coalesce("ref_label", F.lit("")), F.lit("\0"), F.hex(F.xxhash64("ref_text", "ref_label")))
+        library = embed(examples, "ref_text", encode).select(name.alias("ref_id"), "ref_label", "embedding")
+        library = cut_lineage(library.dropDuplicates(["ref_id"]))
+        hits = similar.nearest(vectors, library, k, "_text", "embedding", "ref_id", "embedding", threshold)
+        hints = labels.hint_sets(hits.join(library.select("ref_id", "ref_label"), "ref_id"), "_text", "ref_label")
+    asked = labels.type_prompts(texts, hints, "_text", template)
+    asked = asked.withColumn("prompt", F.concat_ws("\n\n", "prompt", "function_text")).drop("function_text")
     answered = infer(asked, "prompt", model)
     fine = F.col("status") == "OK"
     label = F.when(fine, answers.type_verdict(F.col("raw"), rules=rules))
-    new = (
-        answered.withColumn("true_type", label)
-        .withColumn("final_label", F.coalesce("true_type", F.lit(rules.error)))
-        .withColumn("labeled_by", F.when(fine, "AI"))
-        .withColumn("type_status", F.col("status"))
-        .drop("prompt", "raw", "status", "attempts")
+    said = answered.select(
+        "_text", "_same", label.alias("true_type"), F.when(fine, "AI").alias("labeled_by"), F.col("status").alias("type_status")
     )
+    told = said.withColumn("final_label", F.coalesce("true_type", F.lit(rules.error)))
+    told = told.select("_text", "_same", "true_type", "final_label", "labeled_by", "type_status")
+    new = join_to_keys(keyed, cut_lineage(told), "_text", "_same").drop("_text")
     return stage.merge_stage(done, new)
 
 

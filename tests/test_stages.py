@@ -148,3 +148,20 @@ def test_rows_that_cannot_be_encoded_stay_pending(spark):
     assert {r["row_ord"]: (r["collision_group"], r["collision_verdict"]) for r in result.registry.collect()} == {
         1: (None, None), 2: (None, None), 3: ("NO_COLLISION", "FALSE"),
     }
+
+
+def test_hints_are_looked_up_once_a_text(spark, monkeypatch):
+    """Rows of a few texts, and of equally near examples those of the first label."""
+    looked = []
+    nearest = stages.similar.nearest
+    monkeypatch.setattr(stages.similar, "nearest", lambda df, *a, **k: (looked.append(df.count()), nearest(df, *a, **k))[1])
+    rows = [(i, ["a b", "c", None, ""][i % 4]) for i in range(200)]
+    examples = spark.createDataFrame([("a b", "y"), ("b a", "x"), ("A B", "z"), ("B a", "x")], "ref_text string, ref_label string")
+    prompts = lambda texts: ['{"verdict": "%s"}' % ("Контрольные" if "are: x, y." in t else "Реализационные") for t in texts]
+    done = stages.classify(
+        spark.createDataFrame(rows, "row_ord long, function_text string"), prompts, "T{embedding_suggestions}", examples, HashedWords(), 0.5
+    ).collect()
+    assert looked == [3] and len(done) == 200
+    assert {(r["function_text"], r["true_type"]) for r in done} == {
+        ("a b", "Контрольные"), ("c", "Реализационные"), (None, "Реализационные"), ("", "Реализационные")
+    }
