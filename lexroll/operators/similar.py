@@ -29,6 +29,15 @@ class Sizes:
 
 
 ROUNDING = 0.5 * 10.0**-SIM_DIGITS
+STRIP_CELLS = 1 << 22  # similarities that a task holds at a time, whatever the width of its strips
+
+
+def strips(rows: int, columns: int, strip: int) -> list[slice]:
+    """Runs of at most ``strip`` rows, fewer where each meets so many columns that the product would be large."""
+    step = max(1, min(strip, STRIP_CELLS // max(1, columns)))
+    return [slice(at, min(at + step, rows)) for at in range(0, rows, step)]
+
+
 PAIR_SCHEMA = "id_a string, id_b string, sim double"
 
 
@@ -173,8 +182,8 @@ def _pair_kernel(threshold: float, strip: int):
         units = unit(matrix(rows["vec"]))
         new = np.nonzero(fresh)[0]
         parts = []
-        for at in range(0, len(new), strip):
-            asked = new[at : at + strip]
+        for at in strips(len(new), len(ids), strip):
+            asked = new[at]
             first = asked[0] if fresh.all() else 0  # earlier rows have met these already
             sims = units[asked] @ units[first:].T
             a, b, sim = _hits(sims, threshold)
@@ -199,8 +208,8 @@ def _cross_kernel(threshold: float, strip: int, prefix: Prefix | None = None):
         units_l, units_r = unit(matrix(left["vec"])), unit(matrix(right["vec"]))
         heads_r = None if prefix is None else prefix.parts(units_r)
         parts = []
-        for start in range(0, len(ids_l), strip):
-            rows = units_l[start : start + strip]
+        for at in strips(len(ids_l), len(ids_r), strip):
+            start, rows = at.start, units_l[at]
             a, b, sim = _similar(rows, units_r, threshold, None if prefix is None else prefix.parts(rows), heads_r)
             a = a + start
             # two fresh rows meet in both cells, or in both orders at home: one meeting counts
@@ -548,8 +557,8 @@ def max_similarity(
             units = unit(matrix(rows))
             best[present] = np.concatenate(
                 [
-                    np.round((units[i : i + sizes.strip] @ shared.value.T).max(axis=1), SIM_DIGITS)
-                    for i in range(0, len(units), sizes.strip)
+                    np.round((units[at] @ shared.value.T).max(axis=1), SIM_DIGITS)
+                    for at in strips(len(units), len(shared.value), sizes.strip)
                 ]
             )
         return pa.array(best, mask=~present)
@@ -644,8 +653,8 @@ def _nearest_of_small(rows: DataFrame, small, k: int, id_type: str, sizes: Sizes
             return pa.array([[] for _ in range(len(vectors))], pa.list_(kind))
         units = unit(matrix(vectors))
         cols, vals, counts = [], [], []
-        for i in range(0, len(units), sizes.strip):
-            sims = np.round(units[i : i + sizes.strip] @ lib.T, SIM_DIGITS)
+        for at in strips(len(units), len(lib), sizes.strip):
+            sims = np.round(units[at] @ lib.T, SIM_DIGITS)
             row, col = _best(sims, k)
             cols.append(col), vals.append(sims[row, col])
             counts.append(np.bincount(row, minlength=len(sims)))
@@ -694,10 +703,10 @@ def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, size
         right = right.sort_by("ref_id")
         units, lib_units = unit(matrix(left["vec"])), unit(matrix(right["vec"]))
         out_row, out_col, out_sim = [], [], []
-        for i in range(0, len(units), sizes.strip):
-            sims = np.round(units[i : i + sizes.strip] @ lib_units.T, SIM_DIGITS)
+        for at in strips(len(units), len(lib_units), sizes.strip):
+            sims = np.round(units[at] @ lib_units.T, SIM_DIGITS)
             row, col = _best(sims, k)
-            out_row.append(row + i), out_col.append(col), out_sim.append(sims[row, col])
+            out_row.append(row + at.start), out_col.append(col), out_sim.append(sims[row, col])
         return pa.table(
             {
                 "id": left["id"].take(pa.array(np.concatenate(out_row))),

@@ -217,3 +217,10 @@ def test_low_threshold_in_one_large_block(spark):
 def test_large_blocks_that_the_boilerplate_filter_empties(spark):
     counted = frame(spark, random_rows(n=60)).withColumn("block", F.lit("x"))
     assert pairs(counted.where("id < ''"), 0.8, Sizes(tile=20, max_pivots=4), counted=counted) == set()
+
+
+def test_strips_are_narrow_where_they_are_long():
+    for rows, columns, strip in ((0, 5, 512), (1000, 10, 512), (1000, 200_000, 512), (7, 1 << 23, 512)):
+        found = similar.strips(rows, columns, strip)
+        assert [i for at in found for i in range(rows)[at]] == list(range(rows))
+        assert all(at.stop - at.start <= strip and (at.stop - at.start) * columns <= max(similar.STRIP_CELLS, columns) for at in found)
