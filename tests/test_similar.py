@@ -1,3 +1,4 @@
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -224,3 +225,28 @@ def test_strips_are_narrow_where_they_are_long():
         found = similar.strips(rows, columns, strip)
         assert [i for at in found for i in range(rows)[at]] == list(range(rows))
         assert all(at.stop - at.start <= strip and (at.stop - at.start) * columns <= max(similar.STRIP_CELLS, columns) for at in found)
+
+
+def test_cosines_as_sql_works_them_out():
+    draw = np.random.default_rng(7)
+    a, b = draw.integers(0, 5, (300, 64)).astype(np.float32), draw.integers(0, 5, (300, 64)).astype(np.float32)
+    sql = "SELECT list_cosine_similarity(?::DOUBLE[], ?::DOUBLE[])"
+    con = duckdb.connect()
+    expected = [con.execute(sql, [x.tolist(), y.tolist()]).fetchone()[0] for x, y in zip(a.astype(float), b.astype(float))]
+    assert vectors.plain_cosine(a.astype(float), b.astype(float)).tolist() == expected
+
+
+@pytest.mark.parametrize("sizes", [Sizes(), Sizes(tile=2, max_pivots=2, broadcast_cells=2, sample=2)])
+def test_thresholds_without_rounding(spark, sizes):
+    """Just under the threshold, at it and over it; the first is taken for the second if similarities are rounded."""
+    at = lambda c: [c, (1.0 - c * c) ** 0.5]
+    rows = [("a", [1.0, 0.0], "1", "x"), ("b", at(0.98 - 2e-10), "2", "x"), ("c", at(0.981), "2", "x"), ("d", at(0.5), "2", "x")]
+    df = spark.createDataFrame(rows, "id string, vec array<double>, owner string, block string")
+    assert pairs(df, 0.98, sizes) == {("a", "b"), ("a", "c")}
+    assert pairs(df, 0.98, sizes, rounded=False) == {("a", "c")}
+    library = df.where("id = 'a'").union(spark.createDataFrame([("z", at(-0.9), "3", "x")], df.schema)).select("id", "vec")
+    for rounded, left in ((True, {"d"}), (False, {"b", "d"})):
+        kept = similar.drop_boilerplate(df, library, "id", "vec", "id", "vec", 0.98, sizes, rounded)
+        assert {r["id"] for r in kept.collect()} == left
+    found = similar.near_duplicate_classes(df, "id", "vec", "owner", "id", ["block"], 0.98, sizes=sizes, rounded=False)
+    assert {(r["id_a"], r["id_b"]) for r in found.pairs.collect()} == {("a", "c")}
