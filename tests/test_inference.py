@@ -1,8 +1,11 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexroll.operators.inference import HashedWords, TransientModelError, _ask, embed, infer
+from lexroll.operators.inference import HashedWords, TransientModelError, _ask, embed, infer, infer_pairs
+from lexroll.operators.labels import pair_prompt, pair_prompts, pair_records
 
 
 class Flaky:
@@ -59,3 +62,25 @@ def test_texts_that_cannot_be_encoded_have_no_vector(spark):
 
     df = spark.createDataFrame([("x",), ("bad",)], "text string")
     assert {r["text"]: r["embedding"] for r in embed(df, "text", encode).collect()} == {"x": [1.0, 1.0], "bad": None}
+
+
+@pytest.mark.parametrize("limits", [{}, {"bucket_bytes": 40, "tile_pairs": 3}])
+def test_prompts_of_pairs_are_asked_as_if_written(spark, limits):
+    """The same answers as for the prompts of ``pair_prompts``; equal records are asked once; no prompt is a column."""
+    schema = "row_ord long, function_id string, executor string, type string, sphere string, text string"
+    rows = [(i, f"F{i % 7}", f"o{i % 7}", None if i % 7 else "t", None, "é\n" * (i % 7)) for i in range(10)]
+    shown = spark.createDataFrame(rows, schema)
+    made = [(str(a), str(b)) for a in range(10) for b in range(a + 1, 10)]
+    pairs = spark.createDataFrame(made, "id_a string, id_b string")
+    model = lambda prompts: [hashlib.md5(p.encode()).hexdigest() for p in prompts]
+    expected = infer(pair_prompts(pairs, shown, "row_ord", "Judge.", "function_id"), "prompt", model)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counting(prompts):
+        seen.add(len(prompts))
+        return model(prompts)
+
+    found = infer_pairs(pairs, pair_records(shown, "row_ord", "function_id"), counting, lambda a, b: pair_prompt("Judge.", a, b), **limits)
+    listed = lambda df: sorted(tuple(r) for r in df.select("id_a", "id_b", "raw", "status", "attempts").collect())
+    assert listed(found) == listed(expected) and len(made) == found.count()
+    assert seen.value == len({(rows[int(a)][1], rows[int(b)][1]) for a, b in made})
