@@ -80,7 +80,12 @@ def per_texts(
             if held:
                 yield from function(held)
 
-        return F.arrow_udf(lambda texts: pa.array(results(texts), type=kind), spark_kind)(text)
+        def batch(texts: pa.Array) -> pa.Array:
+            found = pa.array(results(texts), type=kind)
+            pa.default_memory_pool().release_unused()  # what earlier batches and stages of this worker have left
+            return found
+
+        return F.arrow_udf(batch, spark_kind)(text)
 
     return column
 

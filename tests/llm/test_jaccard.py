@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from lexroll.llm import jaccard as j
+from lexroll.llm.simhash import fingerprint_of
 
 
 def brute_kept(rows):
@@ -74,3 +75,15 @@ def test_odd_rows(odd_documents, no_documents):
     kept = [r["doc_id"] for r in j.keep_one_of_each(odd_documents).collect()]
     assert sorted(map(str, kept)) == ["1", "4", "5", "None"]
     assert j.keep_one_of_each(no_documents).count() == 0
+
+
+def test_fingerprints_lead_to_candidates_by_themselves(spark, monkeypatch):
+    """Without a band key, near copies within two bits of one another are still found, and far ones aren't linked."""
+    monkeypatch.setattr(j, "facts", j.per_text(lambda text: {**j._facts(text), "bands": []}, "struct<fp: bigint, size: int, print: bigint, bands: array<bigint>>"))
+    random.seed(3)
+    words = random.choices([f"w{i}" for i in range(3000)], k=4000)
+    other = words[:2000] + ["x"] + words[2000:]
+    assert (fingerprint_of(" ".join(words)) ^ fingerprint_of(" ".join(other))).bit_count() <= 2
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, " ".join(reversed(words))), (4, "")]
+    kept = j.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4]
