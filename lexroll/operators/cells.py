@@ -114,21 +114,36 @@ def reachable(df: DataFrame, vec: Column, reach: Column, cells: Cells) -> Column
     return targets(vec, reach)
 
 
-def tile_join(left: DataFrame, right: DataFrame, keys: list[str], id_col: str, tile: int, kernel, schema: str) -> DataFrame:
+COPIES = 4  # tasks that a row of a large cell is sent to on the average, where tiles may grow so far
+
+
+def tile_edge(n_left: Column, n_right: Column, tile: int, most: int) -> Column:
+    """Rows a side of a tile: ``tile``, or as many up to ``most`` as keep the copies of rows at ``COPIES``.
+
+    Tiles of t rows copy 2 * n_left * n_right / t rows: with a fixed t, that is the square of the input.
+    """
+    even = F.ceil(2.0 * n_left * n_right / (COPIES * (n_left + n_right)))
+    return F.greatest(F.lit(tile), F.least(F.lit(most), even))
+
+
+def tile_join(
+    left: DataFrame, right: DataFrame, keys: list[str], id_col: str, tile: int, kernel, schema: str, most: int = 0
+) -> DataFrame:
     """Apply ``kernel(left_rows, right_rows)`` to all pairs of rows with equal keys.
 
     Keys with more than ``tile`` rows on a side are cut there into salted parts, and each
     part meets every part of the other side, so no task holds more than about ``tile`` rows
-    a side.  Only the keys that need cutting are in the table of parts.
+    a side, or ``most`` if rows would be copied often.  Only the keys that need cutting are in the table of parts.
     """
+    edge = tile_edge(F.col("n_left"), F.col("n_right"), tile, most)
     sizes = (
         left.groupBy(keys).agg(F.count("*").alias("n_left"))
         .join(right.groupBy(keys).agg(F.count("*").alias("n_right")), keys)
         .where((F.col("n_left") > tile) | (F.col("n_right") > tile))
         .select(
             *keys,
-            F.ceil(F.col("n_left") / tile).cast("int").alias("_lefts"),
-            F.ceil(F.col("n_right") / tile).cast("int").alias("_rights"),
+            F.ceil(F.col("n_left") / edge).cast("int").alias("_lefts"),
+            F.ceil(F.col("n_right") / edge).cast("int").alias("_rights"),
         )
     )
     parts = broadcast_if_small(cut_lineage(sizes))

@@ -21,7 +21,7 @@ from lexroll.profile import BOILERPLATE_THRESHOLD, PAIR_THRESHOLD
 class Sizes:
     """Physical limits; none of them changes a result."""
 
-    tile: int = 8192  # rows a side that one task compares
+    tile: int = 8192  # rows a side that one task compares; up to MOST_PAIRED or MOST_SEARCHED where that saves copies of rows
     strip: int = 512  # rows multiplied at a time inside a task
     max_pivots: int = 256
     broadcast_cells: int = 8_000_000  # numbers in a library that is sent to every task
@@ -29,6 +29,8 @@ class Sizes:
 
 
 ROUNDING = 0.5 * 10.0**-SIM_DIGITS
+MOST_PAIRED = 8192  # rows a side of a tile of pairs, whose hits a task holds
+MOST_SEARCHED = 1 << 22  # numbers a side of a tile of a search, which keeps k hits a row
 STRIP_CELLS = 1 << 22  # similarities that a task holds at a time, whatever the width of its strips
 
 
@@ -298,7 +300,8 @@ def _pair_classes(
         .drop("_target")
     )
     return tile_join(
-        routed, assigned, ["block", "cell"], "id", sizes.tile, _cross_kernel(threshold, sizes.strip, prefix, rounded), PAIR_SCHEMA
+        routed, assigned, ["block", "cell"], "id", sizes.tile, _cross_kernel(threshold, sizes.strip, prefix, rounded), PAIR_SCHEMA,
+        MOST_PAIRED,
     )
 
 
@@ -757,6 +760,7 @@ def _nearest_of_large(rows, library, k, id_col, lib_id, lib_vec, threshold, size
 
     # rows and library entries are salted by the same name
     library_side = assigned.withColumn("id", F.struct("ref_id"))
-    partial = tile_join(routed, library_side, ["cell"], "id", sizes.tile, kernel, f"id {own}, ref_id {kind}, sim double")
+    most = MOST_SEARCHED // max(1, sample.shape[1])
+    partial = tile_join(routed, library_side, ["cell"], "id", sizes.tile, kernel, f"id {own}, ref_id {kind}, sim double", most)
     best = Window.partitionBy("id").orderBy(F.desc("sim"), "ref_id")
     return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
