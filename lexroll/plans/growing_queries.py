@@ -170,10 +170,8 @@ OFFICES = ["North Office", "South Office", ""]
 SELECT doc_id, section_no, status.status, {chosen(OFFICES)} AS name FROM heads JOIN status USING (doc_id, section_no)"""
 )
 def sections_of_arrivals(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that arrive in three files, each a micro-batch; their sections are cut and named, and one batch is repeated."""
+    """Documents that arrive three times, each time a micro-batch; their sections are cut and named, and one batch is repeated."""
     docs, base = table(spark, folder, "documents").select("doc_id", "text"), f"{run_folder(spark)}/{uuid.uuid4().hex}"
-    for part in range(3):
-        docs.where(F.pmod("doc_id", F.lit(3)) == part).coalesce(1).write.mode("append").parquet(f"{base}/in")
 
     def work(rows: DataFrame) -> DataFrame:
         lines = rows.select("doc_id", cut.paragraphs_of(F.col("text")).alias("paragraphs"))
@@ -183,7 +181,9 @@ def sections_of_arrivals(spark: SparkSession, folder: str) -> DataFrame:
         name = answers.json_text(F.col("raw"), "full_go_name", fenced=True)
         return named.select("doc_id", F.col("section_no").cast("long").alias("section_no"), F.col("item_status").alias("status"), name.alias("name"))
 
-    take_batches(spark, f"{base}/in", f"{base}/out", f"{base}/state", work, files=1).awaitTermination()
+    for part in range(3):  # as many files as Spark writes; a run takes all that have arrived since the last one
+        docs.where(F.pmod("doc_id", F.lit(3)) == part).write.mode("append").parquet(f"{base}/in")
+        take_batches(spark, f"{base}/in", f"{base}/out", f"{base}/state", work).awaitTermination()
     write_batch(work(docs.where(F.pmod("doc_id", F.lit(3)) == 1)), f"{base}/out", batch_of(spark, f"{base}/out", 1))
     return read_batches(spark, f"{base}/out", "doc_id long, section_no long, status string, name string")
 
