@@ -60,6 +60,15 @@ def per_text(function: Callable[[str | None], Any], returns: DataType | str) ->
     return column
 
 
+def mark_to_join(mark: Column) -> Column:
+    """A mark that a function has made and that is never null, as one that rows are joined by.
+
+    Spark puts a filter against nulls before a join.  It would work the function out there once more, in a second
+    Python worker of the same task, unless the column can't be null.
+    """
+    return F.coalesce(mark, F.lit(0).cast("long"))
+
+
 def per_texts(
     function: Callable[[list[str | None]], list], returns: DataType | str, letters: int = 1 << 18
 ) -> Callable[[Column], Column]:

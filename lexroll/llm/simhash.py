@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lexroll.llm.common import per_text, text_batches
+from lexroll.llm.common import mark_to_join, per_text, text_batches
 from lexroll.operators.closure import connected_groups
 from lexroll.operators.lineage import broadcast_if_small, written
 from lexroll.operators.skew import join_to_keys
@@ -255,7 +255,7 @@ def one_of_each(
     chosen = written(least.select(F.col("first.doc_id").alias("id"), F.col("first.fp").alias("fp")))
     again = marked.groupBy("doc_id", "fp").agg(F.count("*").alias("n")).where("n > 1")
     rows = docs.select(
-        F.struct("*").alias("row"), F.col(id_col).alias("row_id"), marks(F.col(text_col)).alias("row_fp")
+        F.struct("*").alias("row"), F.col(id_col).alias("row_id"), mark_to_join(marks(F.col(text_col))).alias("row_fp")
     )
     kept = rows.join(chosen, F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_fp") == F.col("fp")), "left_semi")
     if not again.isEmpty():
