@@ -11,10 +11,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lexroll.functions.text import strip
-from lexroll.operators.lineage import cut_lineage
+from lexroll.operators.lineage import cut_lineage, fits_broadcast
 from lexroll.operators.skew import join_to_keys
 from lexroll.operators.store import Store
 from lexroll.profile import ATTEMPTS, BACKOFF_SECONDS, EMBED_BATCH
@@ -114,6 +114,52 @@ def infer(
     return join_to_keys(keyed, answers, "_key", "_rows").drop("_key")
 
 
+TASK_PROMPTS = 20_000  # that a task asks
+
+
+def infer_each(
+    df: DataFrame,
+    prompt: Column,
+    model: Model,
+    accept: Callable[[str], bool] | None = None,
+    attempts: int = ATTEMPTS,
+    backoff: float = BACKOFF_SECONDS,
+    batch: int = EMBED_BATCH,
+    task_prompts: int = TASK_PROMPTS,
+) -> DataFrame:
+    """``infer`` for rows whose prompts mostly differ; ``prompt`` is no column of the result.
+
+    The rows are made once and written.  Prompts are counted by their hashes alone; a row with a hash of its own is asked with
+    its row, so that neither prompts nor answers are grouped, sorted or joined.  Rows that share a hash go through ``infer``,
+    and so do all rows if such hashes are many.
+    """
+    text = F.coalesce(prompt, F.lit(""))
+    rows = cut_lineage(df)
+    marked = rows.withColumn("_mark", F.xxhash64(text))
+    again = cut_lineage(marked.groupBy("_mark").agg(F.count("*").alias("_n")).where("_n > 1").select("_mark"))
+    asked_once = lambda part: infer(part.withColumn("_prompt", text), "_prompt", model, accept, attempts, backoff, batch).select(
+        *df.columns, "raw", "status", "attempts"
+    )
+    if not fits_broadcast(again):
+        return asked_once(rows)
+
+    def ask(prompts: pa.Array) -> pa.Array:
+        texts, said = prompts.to_pylist(), []
+        for at in range(0, len(texts), batch):
+            said += _ask_batch(model, texts[at : at + batch], accept, attempts, backoff)
+        kinds = (pa.string(), pa.string(), pa.int32())
+        parts = [pa.array([s[i] for s in said], kind) for i, kind in enumerate(kinds)]
+        return pa.StructArray.from_arrays(parts, names=["raw", "status", "attempts"])
+
+    said = F.arrow_udf(ask, "raw string, status string, attempts int")(text)
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / task_prompts))
+    alone = marked.join(F.broadcast(again), "_mark", "left_anti").repartition(tasks, "_mark")
+    answered = cut_lineage(alone.withColumn("_said", said).select(*df.columns, "_said.*"))
+    if again.isEmpty():
+        return answered
+    return answered.unionByName(asked_once(marked.join(F.broadcast(again), "_mark", "left_semi")))
+
+
 PAIR_BYTES = 64 * 1024 * 1024  # texts of a bucket of records
 PAIR_TILE = 500_000  # pairs that two buckets are to share
 
