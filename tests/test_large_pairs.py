@@ -38,3 +38,19 @@ def test_pairs_of_few_copies_are_not_shuffled(spark):
     plan = near_duplicate_pairs(df, "id", "vec", "owner", [], 0.9, sizes=SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Inner" not in plan
     assert similar.HELD >= 2
+
+
+def test_pairs_of_many_copies_are_not_shuffled(spark):
+    """Nor do they, if a class has more copies than a row of a cell carries."""
+    _, df = rows_of(spark, 8 * similar.HELD)
+    plan = near_duplicate_pairs(df, "id", "vec", "owner", [], 0.9, sizes=SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner" not in plan
+
+
+def test_cells_are_few_where_angles_tell_little(spark):
+    """A row is copied for each cell that it visits, so their number doesn't follow that of the rows."""
+    draw = np.random.default_rng(5)
+    made = [(str(i), [float(x) for x in v]) for i, v in enumerate(draw.normal(size=(3000, 16)) + 1)]
+    df = spark.createDataFrame(made, "id string, vec array<double>")
+    pivots = similar.pick_pivots(df, "id", "vec", 256, 2, 0.5, 3000)
+    assert len(pivots) <= 32
