@@ -84,3 +84,21 @@ def test_prompts_of_pairs_are_asked_as_if_written(spark, limits):
     listed = lambda df: sorted(tuple(r) for r in df.select("id_a", "id_b", "raw", "status", "attempts").collect())
     assert listed(found) == listed(expected) and len(made) == found.count()
     assert seen.value == len({(rows[int(a)][1], rows[int(b)][1]) for a, b in made})
+
+
+def test_answers_leave_with_their_pair(spark):
+    """More columns of a pair stay with it, repeated pairs are asked once, and nothing is joined after the model was asked."""
+    records = spark.createDataFrame([(str(i), f"text {i}") for i in range(6)], "id string, record string")
+    pairs = spark.createDataFrame([("0", "1", 7), ("0", "1", 8), ("1", "0", 9), ("2", "9", 1), ("4", "5", 2)], "id_a string, id_b string, n int")
+    seen = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        seen.add(len(prompts))
+        return prompts
+
+    found = infer_pairs(pairs, records, model, lambda a, b: f"{a} | {b}", batch=1)
+    assert found.columns == ["id_a", "id_b", "n", "raw", "status", "attempts"]
+    assert sorted((r["n"], r["raw"]) for r in found.collect()) == [
+        (2, "text 4 | text 5"), (7, "text 0 | text 1"), (8, "text 0 | text 1"), (9, "text 1 | text 0"),
+    ]
+    assert seen.value == 3
