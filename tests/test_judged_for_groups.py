@@ -5,6 +5,7 @@ import random
 import pytest
 
 from lexroll.operators.closure import group_pairs
+from lexroll.operators.inference import HashedWords
 from lexroll.plans import stages
 
 
@@ -38,3 +39,36 @@ def test_a_class_goes_with_itself_if_nothing_else_ties_it(spark, monkeypatch):
     assert real == {"1", "5", "6"}
     none = stages._judged_for_groups(known.drop("verdict").limit(0), lambda some: some.join(known.select("id_a", "id_b", "verdict"), ["id_a", "id_b"]))
     assert none.count() == 0 and "verdict" in none.columns
+
+
+SHOWN = "row_ord long, function_id string, function_text string, executor string, true_type string"
+
+
+def rows_of(numbers):
+    return [(i, f"F{i}", "a b c d e f g h " * 4 + f"w{i % 20}", f"o{i % 3}", "t") for i in numbers]
+
+
+def counting(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def model(prompts):
+        seen.add(len(prompts))
+        return ['{"verdict": "%s"}' % ("real" if hash_of(p) % 3 else "false") for p in prompts]
+
+    return seen, model
+
+
+def hash_of(text):
+    return sum(map(ord, text))
+
+
+def test_classes_are_asked_where_a_group_can_change(spark, monkeypatch):
+    monkeypatch.setattr(stages, "ASKED_TOGETHER", 0)
+    monkeypatch.setattr(stages, "ASKED_FIRST", 1)
+    rows, found, calls = spark.createDataFrame(rows_of(range(40)), SHOWN), [], []
+    for every in (True, False):
+        seen, model = counting(spark)
+        result = stages.collide_classes(rows, model, HashedWords(), "J", block_cols=("true_type",), threshold=0.9, every_pair=every)
+        found.append(listed(result.registry.select("row_ord", "collision_group", "collision_verdict")))
+        calls.append(seen.value)
+    assert found[0] == found[1] and calls[1] < calls[0] / 2
