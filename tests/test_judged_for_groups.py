@@ -72,3 +72,18 @@ def test_classes_are_asked_where_a_group_can_change(spark, monkeypatch):
         found.append(listed(result.registry.select("row_ord", "collision_group", "collision_verdict")))
         calls.append(seen.value)
     assert found[0] == found[1] and calls[1] < calls[0] / 2
+
+
+def test_a_later_run_asks_where_a_group_can_change(spark, monkeypatch):
+    monkeypatch.setattr(stages, "ASKED_TOGETHER", 0)
+    monkeypatch.setattr(stages, "ASKED_FIRST", 1)
+    found, calls = [], []
+    for every in (True, False):
+        seen, model = counting(spark)
+        shape = dict(model=model, encode=HashedWords(), template="J", block_cols=("true_type",), threshold=0.9, every_pair=every)
+        first = stages.collide(spark.createDataFrame(rows_of(range(0, 30, 2)), SHOWN), **shape)
+        rows = first.registry.unionByName(spark.createDataFrame(rows_of(range(1, 30, 2)), SHOWN), allowMissingColumns=True)
+        result = stages.collide(stages.cut_lineage(rows), known=first.pairs, **shape)
+        found.append(listed(result.registry.select("row_ord", "collision_group", "collision_verdict")))
+        calls.append(seen.value)
+    assert found[0] == found[1] and calls[1] < calls[0] / 2
